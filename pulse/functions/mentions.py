@@ -20,7 +20,17 @@ _PLAIN_TERM = re.compile(r"[^ ,.:()]+")
 
 
 def _strings(values):
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    """Constant string array from one literal, folded at planning time."""
+    if not values:
+        return F.array().cast("array<string>")
+    return F.split(F.lit("\n".join(values)), "\n")
+
+
+def _string_map(pairs):
+    """Constant string map from one literal, folded at planning time."""
+    return F.str_to_map(
+        F.lit("\n".join(f"{k}\t{v}" for k, v in pairs)), F.lit("\n"), F.lit("\t")
+    )
 
 
 def _found(text, term, needles):
@@ -71,9 +81,7 @@ def extract_mentions(text, terms=DEFAULT_TERMS):
     """``{term: category}`` for the dictionary terms in a text."""
     if not terms.terms:
         return empty_mentions()
-    categories = F.create_map(
-        *[F.lit(v) for t in terms.terms for v in (t.name, t.category)]
-    )
+    categories = _string_map((t.name, t.category) for t in terms.terms)
     return _bind(
         matched_terms(text, terms),
         lambda hits: F.map_from_arrays(

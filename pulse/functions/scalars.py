@@ -37,6 +37,10 @@ def _valid_epoch(epoch):
     return F.when(epoch.between(_FIRST_SECOND, _LAST_SECOND), epoch)
 
 
+def _weekdays():
+    return F.split(F.lit(",".join(WEEKDAYS)), ",")
+
+
 def _epoch_day(epoch):
     return F.floor(_valid_epoch(epoch) / F.lit(_DAY)).cast("int")
 
@@ -50,16 +54,14 @@ def created_hour(epoch):
 
 
 def created_weekday(epoch):
-    names = F.array(*[F.lit(d) for d in WEEKDAYS])
     # Day 0 of the epoch was a Thursday. ``get`` is null at a null place; in ANSI mode
     # ``element_at`` on a constant array is not.
-    return F.get(names, F.pmod(_epoch_day(epoch) + F.lit(3), F.lit(7)))
+    return F.get(_weekdays(), F.pmod(_epoch_day(epoch) + F.lit(3), F.lit(7)))
 
 
 def weekday_ordinal(weekday):
     """1 for Monday up to 7 for Sunday, null for anything else."""
-    names = F.array(*[F.lit(d) for d in WEEKDAYS])
-    place = F.array_position(names, weekday).cast("int")
+    place = F.array_position(_weekdays(), weekday).cast("int")
     return F.when(place > 0, place)
 
 

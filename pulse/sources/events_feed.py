@@ -16,12 +16,48 @@ EVENTS_SCHEMA = (
 )
 LISTED_TERMS = [name for names in CATEGORIES.values() for name in names]
 
-# Lists an event type appears in; two types are in both, as popular stories are.
-TOP_TYPES = ["view", "click", "signup", "error"]
-BEST_TYPES = ["purchase", "signup", "error"]
 # Seconds of a half-day per rank: ranks run from 0 to 239.
 _RANK_SECONDS = 180
 
+_LIST_SQL = f"split('{','.join(LISTED_TERMS)}', ',')"
+# Epoch seconds of a zone-less time, without going through the session zone.
+_EPOCH_SQL = (
+    "unix_date(CAST(ts AS DATE)) * 86400L + hour(ts) * 3600L + minute(ts) * 60L "
+    "+ CAST(floor(second(ts)) AS BIGINT)"
+)
+_HALF_SQL = "CASE WHEN event_id % 2 = 0 THEN '09-00' ELSE '18-00' END"
+
+_STORY_SQL = {
+    "event_id": "event_id",
+    "user_id": "user_id",
+    "event_type": "event_type",
+    "run_id": f"concat(translate(CAST(CAST(ts AS DATE) AS STRING), '-', '/'), '/', {_HALF_SQL})",
+    "rank": f"CAST(floor(({_EPOCH_SQL}) % 43200 / {_RANK_SECONDS}) AS INT)",
+    "title": f"""
+        CASE event_id % 79 % 9
+          WHEN 0 THEN concat('Show: ', {_LIST_SQL}[event_id % 78], ' in production')
+          WHEN 1 THEN concat('Why we left ', {_LIST_SQL}[event_id % 78], ', again')
+          WHEN 2 THEN concat('Notes (', {_LIST_SQL}[event_id % 78], ')')
+          WHEN 3 THEN concat({_LIST_SQL}[event_id % 78], ': a retrospective')
+          WHEN 4 THEN concat('We moved to ', {_LIST_SQL}[event_id % 78], '.')
+          WHEN 5 THEN concat('x', {_LIST_SQL}[event_id % 78], 'y internals')
+          WHEN 6 THEN concat(upper({_LIST_SQL}[event_id % 78]), ' and ',
+            {_LIST_SQL}[event_id % 78], ' or ', {_LIST_SQL}[(event_id * 7 + 3) % 78])
+          WHEN 7 THEN concat('Is it ', {_LIST_SQL}[event_id % 78], '?')
+          ELSE 'sklearn, Power BI and torchlight' END""".replace(
+        "% 78", f"% {len(LISTED_TERMS)}"
+    ),
+    "url": "CASE WHEN event_id % 11 = 0 THEN '' "
+    "ELSE concat('https://example.org/item/', CAST(event_id AS STRING)) END",
+    "score": "CAST(floor(value) AS INT)",
+    "num_comments": "CAST(get_json_object(props, '$.k') AS INT)",
+    "author": "CASE WHEN event_id % 37 = 0 THEN '[deleted]' WHEN event_id % 41 = 0 THEN '' "
+    "WHEN event_id % 43 <> 0 THEN concat('user_', CAST(user_id AS STRING)) END",
+    "created_utc": f"CASE WHEN event_id % 47 <> 0 THEN {_EPOCH_SQL} END",
+    "fetched_at": "CASE WHEN event_id % 53 <> 0 THEN concat(CAST(CAST(ts AS DATE) AS STRING), "
+    f"'T', translate({_HALF_SQL}, '-', ':'), ':00+00:00') END",
+}
+
 
 def read_events(spark, sf_dir):
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
@@ -32,150 +68,56 @@ def stream_events(spark, sf_dir):
     return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def _every(n):
-    return F.col("event_id") % n == 0
-
-
-def _term(index):
-    names = F.array(*[F.lit(t) for t in LISTED_TERMS])
-    return F.get(names, (index % len(LISTED_TERMS)).cast("int"))
-
-
-def _title():
-    t, u = _term(F.col("event_id")), _term(F.col("event_id") * 7 + 3)
-    templates = [
-        F.concat(F.lit("Show: "), t, F.lit(" in production")),
-        F.concat(F.lit("Why we left "), t, F.lit(", again")),
-        F.concat(F.lit("Notes ("), t, F.lit(")")),
-        F.concat(t, F.lit(": a retrospective")),
-        F.concat(F.lit("We moved to "), t, F.lit(".")),
-        F.concat(F.lit("x"), t, F.lit("y internals")),
-        F.concat(F.upper(t), F.lit(" and "), t, F.lit(" or "), u),
-        F.concat(F.lit("Is it "), t, F.lit("?")),
-        F.lit("sklearn, Power BI and torchlight"),
-    ]
-    kind = F.col("event_id") % 79 % 9
-    title = F.lit(None).cast("string")
-    for i, template in reversed(list(enumerate(templates))):
-        title = F.when(kind == i, template).otherwise(title)
-    return title
-
-
-def _epoch():
-    """Epoch seconds of a zone-less time, without going through the session zone."""
-    ts = F.col("ts")
-    day = F.unix_date(ts.cast("date")).cast("bigint")
-    second = F.floor(F.second(ts)).cast("bigint")
-    return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + second
-
-
-def _run_half():
-    return F.when(_every(2), F.lit("09-00")).otherwise(F.lit("18-00"))
-
-
-def _run_id():
-    day = F.translate(F.col("ts").cast("date").cast("string"), "-", "/")
-    return F.concat(day, F.lit("/"), _run_half())
-
-
-def _fetched_at():
-    day = F.col("ts").cast("date").cast("string")
-    clock = F.translate(_run_half(), "-", ":")
-    stamp = F.concat(day, F.lit("T"), clock, F.lit(":00+00:00"))
-    return F.when(~_every(53), stamp)
-
-
-def _author():
-    user = F.concat(F.lit("user_"), F.col("user_id").cast("string"))
-    return (
-        F.when(_every(37), "[deleted]")
-        .when(_every(41), "")
-        .when(_every(43), F.lit(None).cast("string"))
-        .otherwise(user)
-    )
-
-
-def _story_columns():
-    url = F.concat(F.lit("https://example.org/item/"), F.col("event_id").cast("string"))
-    return {
-        "event_id": F.col("event_id"),
-        "run_id": _run_id(),
-        "user_id": F.col("user_id"),
-        "title": _title(),
-        "url": F.when(_every(11), "").otherwise(url),
-        "score": F.floor("value").cast("int"),
-        "num_comments": F.get_json_object("props", "$.k").cast("int"),
-        "author": _author(),
-        "epoch": _epoch(),
-        "fetched_at": _fetched_at(),
-        "event_type": F.col("event_type"),
-    }
-
-
 def stories(events):
-    return events.select(*[col.alias(name) for name, col in _story_columns().items()])
+    return events.selectExpr(*[f"{sql} AS {name}" for name, sql in _STORY_SQL.items()])
 
 
-def raw_posts(events):
-    """Snapshot rows with their ``run_id``: gaps, nulls and damaged JSON included."""
-    return _tagged_rows(events).select("run_id", *RAW_COLUMNS)
-
-
-def _tagged_rows(events):
+def _tagged(events):
     tagged = stories(events).withColumn("mentions", extract_mentions(F.col("title")))
-    source = F.when(F.col("event_type").isin("view", "click", "signup"), "top")
-    damaged = F.when(_every(59), "{bad")
-    return tagged.select(
-        "run_id",
-        "user_id",
-        _rank().alias("rank"),
-        F.col("event_id").cast("string").alias("post_id"),
-        source.otherwise("best").alias("source"),
-        "title",
-        "url",
-        "score",
-        "num_comments",
-        "author",
-        F.when(~_every(47), F.col("epoch")).alias("created_utc"),
-        "fetched_at",
-        damaged.otherwise(mentions_json(F.col("mentions"))).alias("tool_mentions"),
-        F.size("mentions").alias("mention_count"),
+    return tagged.withColumns(
+        {
+            "post_id": F.expr("CAST(event_id AS STRING)"),
+            "source": F.expr("if(event_type IN ('view', 'click', 'signup'), 'top', 'best')"),
+            "tool_mentions": F.when(F.expr("event_id % 59 = 0"), "{bad").otherwise(
+                mentions_json(F.col("mentions"))
+            ),
+            "mention_count": F.size("mentions"),
+        }
     )
 
 
-def _rank():
-    return F.floor(F.col("epoch") % 43200 / _RANK_SECONDS).cast("int")
+def raw_posts(events):
+    """Snapshot rows with their ``run_id``: gaps, nulls and damaged JSON included."""
+    return _tagged(events).select("run_id", *RAW_COLUMNS)
 
 
 def story_copies(events):
     """Ranked snapshot rows in which all events of one user are copies of one story."""
-    rows = _tagged_rows(events)
-    post_id = F.col("user_id").cast("string").alias("post_id")
-    return rows.select("run_id", "rank", post_id, *RAW_COLUMNS[1:])
+    copies = _tagged(events).withColumn("post_id", F.expr("CAST(user_id AS STRING)"))
+    return copies.select("run_id", "rank", *RAW_COLUMNS)
 
 
 def landed_items(events):
-    """Landed rows of both lists, with jobs, missing titles and missing counts."""
-    story = stories(events)
-    item = F.struct(
-        F.col("event_id").alias("id"),
-        F.when(_every(13), "job").otherwise("story").alias("type"),
-        F.when(~_every(17), F.col("title")).alias("title"),
-        "url",
-        F.when(~_every(19), F.col("score")).alias("score"),
-        F.when(~_every(23), F.col("num_comments")).alias("descendants"),
-        F.col("author").alias("by"),
-        F.when(~_every(47), F.col("epoch")).alias("time"),
-    )
-    rows = story.select(
-        "run_id", "event_type", _rank().alias("rank"),
-        F.when(_every(29), "null").otherwise(F.to_json(item)).alias("item"),
-    )
-
-    def listed(name, types, shift):
-        return rows.where(F.col("event_type").isin(types)).select(
-            "run_id", F.lit(name).alias("source"), (F.col("rank") + shift).alias("rank"),
-            "item",
+    """Landed rows of both lists, with jobs, missing titles and missing counts.
+
+    Two event types are in both lists, as popular stories are.
+    """
+    item = """
+        CASE WHEN event_id % 29 = 0 THEN 'null' ELSE to_json(struct(
+          event_id AS id,
+          if(event_id % 13 = 0, 'job', 'story') AS type,
+          if(event_id % 17 <> 0, title, NULL) AS title,
+          url,
+          if(event_id % 19 <> 0, score, NULL) AS score,
+          if(event_id % 23 <> 0, num_comments, NULL) AS descendants,
+          author AS `by`,
+          created_utc AS time)) END AS item"""
+    rows = stories(events)
+
+    def listed(source, types, shift):
+        return rows.where(f"event_type IN {types}").selectExpr(
+            "run_id", f"'{source}' AS source", f"rank + {shift} AS rank", item
         )
 
-    return listed("top", TOP_TYPES, 0), listed("best", BEST_TYPES, 7)
+    top = listed("top", ("view", "click", "signup", "error"), 0)
+    return top, listed("best", ("purchase", "signup", "error"), 7)
