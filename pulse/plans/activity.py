@@ -76,54 +76,64 @@ def score_quartiles(counts):
     """
     block = F.shiftright("score", _BLOCK_BITS)
     blocks = counts.groupBy("source", block.alias("block")).agg(F.sum("n").alias("n"))
-    upto = Window.partitionBy("source").orderBy("block")
     whole = Window.partitionBy("source")
     ranked = blocks.select(
         "source",
         "block",
-        (F.sum("n").over(upto) - F.col("n")).alias("before"),
-        F.sum("n").over(upto).alias("upto"),
+        F.sum("n").over(whole.orderBy("block")).alias("upto"),
         F.sum("n").over(whole).alias("total"),
+        "n",
+    ).withColumn("before", F.col("upto") - F.col("n"))
+
+    # A quartile lies between two neighbouring ranks; each has a row in its block.
+    shares = [F.struct(F.lit(k).alias("name"), F.lit(v).alias("share")) for k, v in QUARTILES.items()]
+    sides = [F.struct(F.lit(0).alias("side")), F.struct(F.lit(1).alias("side"))]
+    place = F.col("share") * (F.col("total") - 1)
+    targets = (
+        ranked.select("*", F.inline(F.array(*shares)))
+        .select("*", F.inline(F.array(*sides)))
+        .withColumn("fraction", place - F.floor(place))
+        .withColumn("rank", F.when(F.col("side") == 0, F.floor(place)).otherwise(F.ceil(place)))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
+        .select(
+            F.col("source").alias("t_source"), F.col("block").alias("t_block"),
+            "before", "name", "side", "rank", "fraction",
+        )
     )
-    # The two neighbouring ranks of every quartile.
-    place = F.col("q.share") * (F.col("total") - 1)
-    wanted = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("share")) for k, v in QUARTILES.items()])
-    )
-    targets = ranked.select("*", wanted.alias("q")).select(
-        "source", "block", "before", "upto", "q.name",
-        (place - F.floor(place)).alias("fraction"),
-        F.floor(place).alias("low_rank"), F.ceil(place).alias("high_rank"),
-    )
-    holds = [
-        (F.col(r) >= F.col("before")) & (F.col(r) < F.col("upto"))
-        for r in ("low_rank", "high_rank")
-    ]
-    targets = targets.where(holds[0] | holds[1])
-
-    inside = Window.partitionBy("source", "block", "name").orderBy("score")
-    scores = counts.withColumn("block", block).join(targets, ["source", "block"])
-    reached = scores.withColumn("seen", F.col("before") + F.sum("n").over(inside))
-    first_above = [
-        F.min(F.when((F.col("seen") > F.col(r)) & held, F.col("score"))).alias(name)
-        for name, r, held in zip(("low", "high"), ("low_rank", "high_rank"), holds)
-    ]
-    neighbours = reached.groupBy("source", "name").agg(
-        *first_above, F.max("fraction").alias("fraction")
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction")
-    return neighbours.groupBy("source").agg(
-        *[F.max(F.when(F.col("name") == k, value)).alias(k) for k in QUARTILES]
+
+    inside = Window.partitionBy("source", "t_block", "name", "side").orderBy("score")
+    reached = (
+        counts.join(
+            targets,
+            counts["source"].eqNullSafe(F.col("t_source")) & block.eqNullSafe(F.col("t_block")),
+        )
+        .withColumn("seen", F.col("before") + F.sum("n").over(inside))
+        .where(F.col("seen") > F.col("rank"))
+        .groupBy("source", "name", "side")
+        .agg(F.min("score").alias("score"), F.max("fraction").alias("fraction"))
     )
 
+    def at(name, side):
+        chosen = (F.col("name") == name) & (F.col("side") == side)
+        return F.max(F.when(chosen, F.col("score")))
+
+    def between(name):
+        fraction = F.max(F.when(F.col("name") == name, F.col("fraction")))
+        return (at(name, 0) + (at(name, 1) - at(name, 0)) * fraction).alias(name)
+
+    return reached.groupBy("source").agg(*[between(name) for name in QUARTILES])
+
 
 def score_box(posts):
     """Box statistics of the positive scores per list.
 
-    The fences are the outermost scores within 1.5 quartile distances of the box.
+    The fences are the outermost scores within 1.5 quartile distances of the box. The
+    joins are null-safe so that no side gets a filter of its own and all of them read
+    the counts from one exchange.
     """
     counts = positive_scores(posts).groupBy("source", "score").agg(row_count("n"))
-    box = counts.join(score_quartiles(counts), "source")
+    quartiles = score_quartiles(counts).withColumnRenamed("source", "q_source")
+    box = counts.join(quartiles, counts["source"].eqNullSafe(F.col("q_source")))
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     score = F.col("score")
     return box.groupBy("source", *QUARTILES).agg(

@@ -14,3 +14,9 @@ def row_count(name):
 def most_first(measure, *then):
     """Largest first; the further columns make the order total."""
     return [F.desc_nulls_last(measure), *[F.asc_nulls_last(c) for c in then]]
+
+
+def side_by_side(first, second):
+    """Two one-row frames as one row."""
+    both = first.unionByName(second, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

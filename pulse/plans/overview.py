@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pulse.functions.scalars import safe_int
-from pulse.plans.common import mean_score, most_first, row_count
+from pulse.plans.common import mean_score, most_first, row_count, side_by_side
 
 TOP_POSTS = 10
 KPI_COUNTS = [
@@ -16,24 +16,25 @@ def overview_kpis(posts):
 
     Two distinct counts in one aggregate would copy every input row per count. Folding
     to one row per list and author first leaves the copying to a far smaller set, and
-    a prolific author is folded on the map side.
+    a prolific author is folded on the map side. The latest time is a text, whose
+    maximum would turn that fold into a sort of all rows, so it is taken by itself
+    from its own column.
     """
     folded = posts.groupBy("source", "author").agg(
         row_count("n"),
         F.count("score").alias("scored"),
         F.sum("score").alias("score"),
         F.sum("mention_count").alias("mentions"),
-        F.max("fetched_at").alias("last"),
     )
     average = F.try_divide(F.sum("score"), F.sum("scored"))
-    return folded.agg(
+    figures = folded.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_posts"),
         F.countDistinct("source").alias("sources"),
         F.countDistinct("author").alias("unique_authors"),
         F.round(average, 0).alias("avg_score"),
         F.sum("mentions").alias("total_tool_mentions"),
-        F.max("last").alias("last_fetch"),
     )
+    return side_by_side(figures, posts.agg(F.max("fetched_at").alias("last_fetch")))
 
 
 def kpis_display(posts):

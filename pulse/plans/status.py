@@ -2,24 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from pulse.plans.common import row_count
+from pulse.plans.common import row_count, side_by_side
 
 RECENT_RUNS = 10
 
 
-def _side_by_side(first, second):
-    """Two one-row frames as one row."""
-    both = first.unionByName(second, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
-
-
 def loaded_counts(posts, mentions):
-    return _side_by_side(posts.agg(row_count("posts")), mentions.agg(row_count("mentions")))
+    return side_by_side(posts.agg(row_count("posts")), mentions.agg(row_count("mentions")))
 
 
 def status_totals(posts, mentions):
     """Posts, mentions and runs, a run being one distinct fetch time."""
-    return _side_by_side(
+    return side_by_side(
         posts.agg(
             row_count("total_posts"), F.countDistinct("fetched_at").alias("total_runs")
         ),

@@ -55,10 +55,16 @@ def score_histogram(posts, source=ALL_SOURCES, limit=TOP_STORIES, bins=HISTOGRAM
 
 
 def posts_mentioning(posts, term, limit=TERM_POSTS):
-    """Posts whose mention map has a term as key."""
+    """Posts whose mention map has a term as key.
+
+    A plain term stands in the JSON text as it is, so a text search spares parsing the
+    maps that cannot have it.
+    """
+    tagged = posts.where(F.col("mention_count") > 0)
+    if term.isascii() and term.isalnum():
+        tagged = tagged.where(F.contains(F.col("tool_mentions"), F.lit(f'"{term}"')))
     return (
-        posts.where(F.col("mention_count") > 0)
-        .where(F.map_contains_key(parse_mentions(F.col("tool_mentions")), F.lit(term)))
+        tagged.where(F.map_contains_key(parse_mentions(F.col("tool_mentions")), F.lit(term)))
         .orderBy("post_id", "fetched_at")
         .limit(limit)
         .select("title", "tool_mentions")

@@ -15,8 +15,9 @@ LAKE_FILES = "*.{json,txt}"
 RECENT_DAYS = 7
 BRONZE_COLUMNS = ["run_id", *RAW_COLUMNS, "modified_at"]
 
-# At most 2^12 rows share one array document, whatever the size of a run.
-_DOCUMENT_BITS = 12
+# At most 2^10 rows share one array document, whatever the size of a run; a run of the
+# usual size fits in one.
+_DOCUMENT_BITS = 10
 _RUN_KEYS = ["year", "month", "day", "time"]
 _RUN_PATH = r"(\d{4}/\d{2}/\d{2}/\d{2}-\d{2})(?:\.json$|/)"
 
