@@ -1,11 +1,11 @@
 """Term tagging and the mention map, as native column expressions.
 
 A delimited term matches when a space or the start stands before it and a space, a
-comma, a dot, a colon or the end after it, or when it stands alone in parentheses.
-Every candidate of the first kind is therefore the head of a space-separated token,
-cut at the token's first comma, dot or colon. One linear pass removes the tails, one
-split yields the heads, and a hash intersection with the dictionary keeps the terms,
-so the cost does not depend on the size of the dictionary.
+comma, a dot, a colon or the end after it, or when it stands alone in parentheses. One
+pass finds the first kind: it stops at spaces only and tries the terms as one pattern
+with common beginnings factored out, so its cost hardly depends on how many terms there
+are. The right edge is looked at but not taken, since it may be the left edge of the
+next term.
 """
 
 import re
@@ -33,6 +33,34 @@ def _string_map(pairs):
     )
 
 
+def _any_of(words):
+    """Pattern for any of the words, common beginnings written once."""
+    tails = {}
+    for word in words:
+        tails.setdefault(word[0], []).append(word[1:])
+    options = []
+    for first, rest in tails.items():
+        longer = [r for r in rest if r]
+        tail = _any_of(longer) if longer else ""
+        optional = f"(?:{tail})?" if longer and len(longer) < len(rest) else tail
+        options.append(re.escape(first) + optional)
+    return options[0] if len(options) == 1 else f"(?:{'|'.join(options)})"
+
+
+def _delimited_hits(lowered, words):
+    """Terms between delimiters or alone in parentheses; may hold a term twice."""
+    word = _any_of(words)
+    firsts = "".join(re.escape(c) for c in sorted({w[0] for w in words}))
+    spaced = F.regexp_extract_all(
+        F.concat(F.lit(" "), lowered),
+        F.lit(rf" (?=[{firsts}])({word})(?=[ ,.:]|\z)"),
+        F.lit(1),
+    )
+    enclosed = F.regexp_extract_all(lowered, F.lit(rf"\(({word})\)"), F.lit(1))
+    bracket = F.contains(lowered, F.lit("("))
+    return F.concat(spaced, F.when(bracket, enclosed).otherwise(_strings([])))
+
+
 def _found(text, term, needles):
     hit = F.lit(False)
     for needle in needles:
@@ -50,19 +78,16 @@ def _bind(value, body):
 
 
 def _hits(lowered, terms):
-    """Matching terms of a lower-cased text, delimited ones before the others."""
+    """Matching terms of a lower-cased text, in no particular order."""
     plain = [t.name for t in terms.delimited if _PLAIN_TERM.fullmatch(t.name)]
-    # A term holding a delimiter of its own is never a token head: test it literally.
+    # A term holding a delimiter of its own may overlap another: test it literally.
     odd = [t for t in terms.delimited if t.name not in set(plain)]
-    heads = F.split(F.regexp_replace(lowered, r"[,.:][^ ]*+", ""), " ")
-    enclosed = F.regexp_extract_all(lowered, F.lit(r"\(([^ ,.:()]++)\)"), F.lit(1))
-    hits = F.array_intersect(_strings(plain), F.concat(heads, enclosed))
-    literal = [_found(lowered, t, t.needles) for t in terms.substring]
     padded = F.concat(F.lit(" "), lowered, F.lit(" "))
-    literal += [
+    literal = [_found(lowered, t, t.needles) for t in terms.substring] + [
         _found(padded, t, [left + t.name + right for left, right in _EDGES]) for t in odd
     ]
-    return F.concat(hits, F.array_compact(F.array(*literal))) if literal else hits
+    hits = F.array_compact(F.array(*literal)).cast("array<string>")
+    return F.concat(_delimited_hits(lowered, plain), hits) if plain else hits
 
 
 def _in_order(hits, terms):
