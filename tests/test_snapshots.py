@@ -81,6 +81,17 @@ def test_recent_files_up_to_the_exact_cutoff(spark, tmp_path):
     assert ids(lake.scan_recent_snapshots(spark, root, days=60, now=NOW)) == ["after", "at", "before", "new", "old"]
 
 
+def test_old_files_are_not_opened(spark, tmp_path):
+    """An old file that would fail the scan does not, since it is pruned by its time."""
+    root = str(tmp_path)
+    put(root, "2024/03/09/09-00", [raw_row(post_id="new")], NOW)
+    old = put(root, "2024/01/01/09-00", [], NOW - timedelta(days=30))
+    with open(old, "w") as f:
+        f.write('[{"post_id": ')
+    os.utime(old, ((NOW - timedelta(days=30)).timestamp(),) * 2)
+    assert ids(lake.scan_recent_snapshots(spark, root, now=NOW)) == ["new"]
+
+
 def test_time_bound_is_on_the_file_not_the_run(spark, tmp_path):
     put(str(tmp_path), "2020/01/01/09-00", [raw_row(post_id="late")], NOW)
     assert ids(lake.scan_recent_snapshots(spark, str(tmp_path), now=NOW)) == ["late"]
