@@ -30,10 +30,13 @@ def rank_limit(landed, limit=RANK_LIMIT):
 
 
 def decode_items(landed):
-    """Typed item columns instead of the JSON text; a failed fetch has no fields."""
+    """Typed item columns instead of the JSON text; a failed fetch has no fields.
+
+    Unpacking through ``inline`` parses every text once. A filter on fields of a parsed
+    column would be pushed below it and parse the text again for each field.
+    """
     keep = [c for c in landed.columns if c != "item"]
-    parsed = landed.withColumn("item", F.from_json("item", ITEM_SCHEMA))
-    return parsed.select(*keep, "item.*")
+    return landed.select(*keep, F.inline(F.array(F.from_json("item", ITEM_SCHEMA))))
 
 
 def valid_stories(items):

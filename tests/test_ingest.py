@@ -45,6 +45,7 @@ def test_unusable_items_go(spark):
         ("top", 0, None), ("top", 1, "null"), ("top", 2, "{oops"), ("top", 3, story(id=3, type="job")),
         ("top", 4, story(id=4, title="")), ("top", 5, story(id=5, title=None)),
         ("top", 6, story(id=6, title=...)), ("top", 7, story(id=7)),
+        ("top", 8, '{"id": 8, "type": "story", "title": "cut off", bad'),
     ]
     assert [r["post_id"] for r in normalized(spark, rows)] == ["7"]
 
@@ -115,6 +116,11 @@ def test_dedup_prunes_before_its_only_exchange(spark, events):
     assert "WindowGroupLimit" in below
 
 
+def test_items_are_parsed_once(spark):
+    rows = ingest.valid_stories(ingest.decode_items(landed(spark, [("top", 0, story())])))
+    assert initial_plan(rows).count("from_json") == 1
+
+
 def test_union_keeps_duplicates(spark):
     df = landed(spark, [("top", 0, story())])
     assert ingest.union_sources(df, df, df).count() == 3

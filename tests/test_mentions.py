@@ -144,6 +144,10 @@ def test_dictionary_is_validated():
         ('{"a":"x","a":"z"}', {"a": "z"}),
         ('{"a":"x","b":"y","a":"z"}', {"a": "z", "b": "y"}),
         ("{bad", {}),
+        ('{"a":"x", bad', {}),
+        ('{"a":"x"', {}),
+        ('"text"', {}),
+        ("7", {}),
         ("", {}),
         ("null", {}),
         ("[]", {}),
