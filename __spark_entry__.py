@@ -28,6 +28,7 @@ from pulse.session import shared_folder  # noqa: E402
 from pulse.sources import events_feed as feed  # noqa: E402
 from pulse.sources import snapshots as lake  # noqa: E402
 from pulse.sources import tables  # noqa: E402
+from pulse.sources.spread import spread  # noqa: E402
 from pulse.streaming import ingest as stream_ingest  # noqa: E402
 from pulse.streaming import trend as stream_trend  # noqa: E402
 
@@ -44,6 +45,11 @@ def _raw(spark, sf_dir):
     return feed.raw_posts(_events(spark, sf_dir))
 
 
+def _spread_raw(spark, sf_dir):
+    """For queries that tag or parse every row."""
+    return feed.raw_posts(spread(_events(spark, sf_dir)))
+
+
 def _on_posts(plan, **options):
     def run(spark, sf_dir):
         return plan(transform.build_posts(_raw(spark, sf_dir)), **options)
@@ -53,26 +59,27 @@ def _on_posts(plan, **options):
 
 def _on_mentions(plan, **options):
     def run(spark, sf_dir):
-        return plan(transform.build_mentions(_raw(spark, sf_dir)), **options)
+        return plan(transform.build_mentions(_spread_raw(spark, sf_dir)), **options)
 
     return run
 
 
 def _on_both(plan):
     def run(spark, sf_dir):
-        raw = _raw(spark, sf_dir)
+        raw = _spread_raw(spark, sf_dir)
         return plan(transform.build_posts(raw), transform.build_mentions(raw))
 
     return run
 
 
 def _on_raw(plan):
-    return lambda spark, sf_dir: plan(_raw(spark, sf_dir))
+    return lambda spark, sf_dir: plan(_spread_raw(spark, sf_dir))
 
 
 def _on_items(plan):
     def run(spark, sf_dir):
-        return plan(ingest.union_sources(*feed.landed_items(_events(spark, sf_dir))))
+        events = spread(_events(spark, sf_dir))
+        return plan(ingest.union_sources(*feed.landed_items(events)))
 
     return run
 
@@ -97,7 +104,7 @@ def _union_sources(landed):
 
 
 def _extract_mentions(spark, sf_dir):
-    rows = feed.stories(_events(spark, sf_dir))
+    rows = feed.stories(spread(_events(spark, sf_dir)))
     return rows.select(
         F.col("event_id").cast("string").alias("post_id"),
         F.explode(extract_mentions(F.col("title"))).alias("tool", "category"),
@@ -109,7 +116,7 @@ def _document_mentions(spark, sf_dir):
     words = TermDictionary.build(
         {**CATEGORIES, **oracle.COMMON_WORDS}, SUBSTRING_NEEDLES, BLOCKED_TERMS, MIN_TERM_LENGTH
     )
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return documents.select(
         "doc_id", F.explode(extract_mentions(F.col("text"), words)).alias("tool", "category")
     )
@@ -120,12 +127,12 @@ def _mention_count(raw):
 
 
 def _dedup_first(spark, sf_dir):
-    copies = feed.story_copies(_events(spark, sf_dir))
+    copies = feed.story_copies(spread(_events(spark, sf_dir)))
     return ingest.dedup_first(copies).select("run_id", "rank", *RAW_COLUMNS)
 
 
 def _dedup_latest(spark, sf_dir):
-    copies = feed.story_copies(_events(spark, sf_dir)).select(*RAW_COLUMNS, "run_id")
+    copies = feed.story_copies(spread(_events(spark, sf_dir))).select(*RAW_COLUMNS, "run_id")
     return ingest.dedup_latest(copies)
 
 
@@ -184,7 +191,7 @@ def _snapshot_rows(df):
 
 
 def _scan_snapshots(spark, sf_dir):
-    root = lake.write_snapshots(_raw(spark, sf_dir), shared_folder(spark, "lake"))
+    root = lake.write_snapshots(_spread_raw(spark, sf_dir), shared_folder(spark, "lake"))
     return _snapshot_rows(lake.scan_snapshots(spark, root))
 
 
@@ -220,12 +227,12 @@ def _scan_recent_bronze(spark, sf_dir):
 def _write_snapshot(spark, sf_dir):
     """The whole feed as one run, far above the usual size of a run."""
     root = shared_folder(spark, "lake")
-    lake.write_snapshot(_raw(spark, sf_dir), root, "2024/02/01/09-00")
+    lake.write_snapshot(_spread_raw(spark, sf_dir), root, "2024/02/01/09-00")
     return _snapshot_rows(lake.scan_snapshots(spark, root))
 
 
 def _run_count(spark, sf_dir):
-    root = lake.write_snapshots(_raw(spark, sf_dir), shared_folder(spark, "lake"))
+    root = lake.write_snapshots(_spread_raw(spark, sf_dir), shared_folder(spark, "lake"))
     return status.run_count(lake.scan_snapshots(spark, root))
 
 
@@ -244,15 +251,15 @@ def _incremental_ingest(spark, sf_dir):
 
 
 def _load_posts(spark, sf_dir):
-    return tables.load_tables(_raw(spark, sf_dir), shared_folder(spark, "tables")).posts
+    return tables.load_tables(_spread_raw(spark, sf_dir), shared_folder(spark, "tables")).posts
 
 
 def _load_mentions(spark, sf_dir):
-    return tables.load_tables(_raw(spark, sf_dir), shared_folder(spark, "tables")).mentions
+    return tables.load_tables(_spread_raw(spark, sf_dir), shared_folder(spark, "tables")).mentions
 
 
 def _loaded_counts(spark, sf_dir):
-    loaded = tables.load_tables(_raw(spark, sf_dir), shared_folder(spark, "tables"))
+    loaded = tables.load_tables(_spread_raw(spark, sf_dir), shared_folder(spark, "tables"))
     return status.loaded_counts(loaded.posts, loaded.mentions)
 
 

@@ -109,13 +109,11 @@ def score_quartiles(counts):
         )
         .withColumn("seen", F.col("before") + F.sum("n").over(inside))
         .where(F.col("seen") > F.col("rank"))
-        .groupBy("source", "name", "side")
-        .agg(F.min("score").alias("score"), F.max("fraction").alias("fraction"))
     )
 
     def at(name, side):
         chosen = (F.col("name") == name) & (F.col("side") == side)
-        return F.max(F.when(chosen, F.col("score")))
+        return F.min(F.when(chosen, F.col("score")))
 
     def between(name):
         fraction = F.max(F.when(F.col("name") == name, F.col("fraction")))

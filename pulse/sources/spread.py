@@ -1,0 +1,13 @@
+"""Work for every task slot when a source comes in too few pieces."""
+
+
+def spread(df):
+    """Deal rows out evenly if the scan has fewer tasks than there are slots.
+
+    Array files and Parquet files of one row group cannot be split, so a few of them
+    leave most slots idle during a costly projection such as tagging. At scale there
+    are far more pieces than slots and the frame is returned as it is, without an
+    exchange. Column pruning and filters reach the scan through the exchange.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

@@ -1,15 +1,24 @@
-"""The two query tables on disk: full refresh, open, empty."""
+"""The two query tables on disk: full refresh, open, empty.
+
+A root holds two copies of the tables and a log of loads. A refresh overwrites the copy
+that is not in use and then logs it, so readers see both old tables or both new ones,
+and a load that fails leaves the tables as they were.
+"""
 
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pulse.operators.transform import build_posts, mentions_from_posts
 from pulse.schemas import MENTIONS_SCHEMA, POSTS_SCHEMA
 
 POSTS = "posts"
 MENTIONS = "tool_mentions"
+LOADS = "loads"
+LOADS_SCHEMA = "load bigint, copy string"
+COPIES = ["a", "b"]
 
 
 @dataclass(frozen=True)
@@ -30,6 +39,16 @@ def empty_tables(spark):
     )
 
 
+def _last_load(spark, root):
+    try:
+        loads = spark.read.schema(LOADS_SCHEMA).parquet(f"{root}/{LOADS}")
+        return loads.orderBy(F.desc("load")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def load_tables(raw, root, compat=True, dedup=None):
     """Replace both tables below a root by what the snapshot rows give.
 
@@ -37,23 +56,31 @@ def load_tables(raw, root, compat=True, dedup=None):
     once. Skew in the input does not matter: no step moves rows between tasks.
     """
     spark = raw.sparkSession
-    build_posts(raw, compat, dedup).write.mode("overwrite").parquet(f"{root}/{POSTS}")
-    posts = spark.read.schema(POSTS_SCHEMA).parquet(f"{root}/{POSTS}")
-    mentions_from_posts(posts, compat).write.mode("overwrite").parquet(f"{root}/{MENTIONS}")
+    last = _last_load(spark, root)
+    number = last["load"] + 1 if last else 0
+    copy = COPIES[number % len(COPIES)]
+    path = f"{root}/{copy}"
+    build_posts(raw, compat, dedup).write.mode("overwrite").parquet(f"{path}/{POSTS}")
+    posts = spark.read.schema(POSTS_SCHEMA).parquet(f"{path}/{POSTS}")
+    mentions_from_posts(posts, compat).write.mode("overwrite").parquet(f"{path}/{MENTIONS}")
+    done = spark.createDataFrame([(number, copy)], LOADS_SCHEMA)
+    done.coalesce(1).write.mode("append").parquet(f"{root}/{LOADS}")
     return open_tables(spark, root)
 
 
 def open_tables(spark, root):
-    """The stored tables, or typed empty ones where nothing was ever loaded."""
-    try:
-        return Tables(
-            spark.read.schema(POSTS_SCHEMA).parquet(f"{root}/{POSTS}"),
-            spark.read.schema(MENTIONS_SCHEMA).parquet(f"{root}/{MENTIONS}"),
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """The tables of the last load, or typed empty ones where nothing was ever loaded.
+
+    Frames stay readable during the next refresh; open the tables again after it.
+    """
+    last = _last_load(spark, root)
+    if last is None:
         return empty_tables(spark)
+    path = f"{root}/{last['copy']}"
+    return Tables(
+        spark.read.schema(POSTS_SCHEMA).parquet(f"{path}/{POSTS}"),
+        spark.read.schema(MENTIONS_SCHEMA).parquet(f"{path}/{MENTIONS}"),
+    )
 
 
 def refresh(raw, root, **options):

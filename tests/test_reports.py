@@ -75,6 +75,22 @@ def test_tables_full_refresh(spark, events, tmp_path):
     assert tables.refresh(raw_frame(spark, [raw_row()]), root).posts.count() == 1
 
 
+def test_failed_load_leaves_the_tables(spark, events, tmp_path):
+    root = str(tmp_path / "t")
+    raw = feed.raw_posts(events)
+    tables.load_tables(raw, root)
+    opened = tables.open_tables(spark, root)
+    want = sorted(map(str, opened.mentions.collect()))
+    broken = raw.withColumn("score", F.expr("if(post_id = '7', raise_error('lost'), score)"))
+    with pytest.raises(Exception, match="lost"):
+        tables.load_tables(broken, root)
+    assert sorted(map(str, tables.open_tables(spark, root).mentions.collect())) == want
+    # A frame opened before a refresh still reads its own tables after it.
+    tables.load_tables(raw_frame(spark, [raw_row()]), root)
+    assert sorted(map(str, opened.mentions.collect())) == want
+    assert tables.open_tables(spark, root).posts.count() == 1
+
+
 def test_sql_on_registered_views(spark, stored):
     stored.register()
     got = spark.sql(

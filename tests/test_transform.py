@@ -143,3 +143,33 @@ def test_only_needed_columns_are_read(spark, tmp_path):
 def test_safe_int(spark, text, expected):
     df = spark.createDataFrame([(text,)], "c string")
     assert df.select(S.safe_int(F.col("c")).alias("n")).first()["n"] == expected
+
+
+def test_same_without_ansi_mode(spark, events):
+    from pulse.sources.events_feed import raw_posts
+
+    odd = raw_frame(spark, [raw_row(title=None, tool_mentions=t) for t in (None, "[]", '{"a":"x","a":"y"}')])
+    def rows():
+        return [
+            sorted(map(str, build(raw).collect()))
+            for raw in (raw_posts(events), odd)
+            for build in (build_posts, build_mentions)
+        ]
+    strict = rows()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert rows() == strict
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_spread_only_where_pieces_are_few(spark, events):
+    from pulse.sources.spread import spread
+
+    slots = spark.sparkContext.defaultParallelism
+    dealt = spread(events)
+    assert dealt.rdd.getNumPartitions() == slots and dealt.count() == events.count()
+    enough = spark.range(0, 100, 1, slots)
+    assert "Exchange" not in initial_plan(spread(enough))
+    pruned = initial_plan(dealt.where("event_id > 5").select("event_id"))
+    assert "GreaterThan(event_id,5)" in pruned and "props" not in pruned
