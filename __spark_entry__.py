@@ -6,7 +6,7 @@ import os
 import sys
 import time
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -201,11 +201,9 @@ def _two_arrivals(spark, sf_dir):
     root = shared_folder(spark, "lake")
     early, late = F.col("run_id") < LATER_RUNS, F.col("run_id") >= LATER_RUNS
     lake.write_snapshots(raw.where(early), f"{root}/early")
-    last = lake.scan_snapshots(spark, f"{root}/early").agg(
-        F.max(F.unix_millis("modified_at")).alias("last")
-    )
-    between = F.timestamp_millis(F.col("last") + 1)
-    instant = last.select(between.alias("at")).first()["at"].astimezone()
+    newest = F.max(F.unix_millis("modified_at"))
+    last = lake.scan_snapshots(spark, f"{root}/early").agg(newest).first()[0]
+    instant = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=last + 1)
     time.sleep(1.1)  # some stores keep whole seconds only
     lake.write_snapshots(raw.where(late), f"{root}/late")
     return root, instant + timedelta(days=lake.RECENT_DAYS)

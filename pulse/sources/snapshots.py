@@ -119,16 +119,22 @@ def _array_documents(rows, keys):
 def write_snapshot(posts, root, run_id):
     """One run into ``root/YYYY/MM/DD/HH-MM``; running it again replaces the run."""
     path = f"{root.rstrip('/')}/{run_id}"
-    _array_documents(posts, []).write.mode("overwrite").partitionBy("part").text(path)
+    writer = _array_documents(posts, []).write.mode("overwrite").partitionBy("part")
+    # Whatever the session says, parts of an earlier write must not stay.
+    writer.option("partitionOverwriteMode", "static").text(path)
     return path
 
 
 def write_snapshots(posts, root):
-    """Rows of many runs, told apart by ``run_id``, in one job into a new lake."""
+    """Rows of many runs, told apart by ``run_id``, in one job into a new lake.
+
+    The rebalance brings the rows of a run together, so that it gets few documents, and
+    splits a run that holds much of the data.
+    """
     pieces = F.split("run_id", "/")
     keyed = posts.select(
         *[pieces[i].alias(key) for i, key in enumerate(_RUN_KEYS)], *RAW_COLUMNS
-    )
+    ).hint("rebalance", *_RUN_KEYS)
     documents = _array_documents(keyed, _RUN_KEYS)
     documents.write.partitionBy(*_RUN_KEYS, "part").text(root)
     return root

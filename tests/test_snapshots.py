@@ -121,12 +121,28 @@ def test_snapshot_round_trip(spark, tmp_path):
     assert {r["run_id"] for r in back.collect()} == {"2024/03/01/09-00"}
 
 
-def test_writing_a_run_again_replaces_it(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_writing_a_run_again_replaces_it(spark, tmp_path, mode):
     root = str(tmp_path)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    many = raw_frame(spark, [raw_row(post_id=str(i)) for i in range(5000)])
+    lake.write_snapshot(many, root, "2024/03/01/09-00")
     lake.write_snapshot(raw_frame(spark, [raw_row(post_id="a")] * 3), root, "2024/03/01/09-00")
     lake.write_snapshot(raw_frame(spark, [raw_row(post_id="z")]), root, "2024/03/01/18-00")
     lake.write_snapshot(raw_frame(spark, [raw_row(post_id="b")]), root, "2024/03/01/09-00")
     assert ids(lake.scan_snapshots(spark, root)) == ["b", "z"]
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def array_sizes(root):
+    """Rows per array file, by folder."""
+    sizes = []
+    for folder, _, files in os.walk(root):
+        for name in files:
+            if name.endswith(".txt"):
+                with open(os.path.join(folder, name)) as f:
+                    sizes.append((folder, len(json.load(f))))
+    return sizes
 
 
 def test_large_run_is_split_into_bounded_arrays(spark, tmp_path):
@@ -141,12 +157,7 @@ def test_large_run_is_split_into_bounded_arrays(spark, tmp_path):
         ]
     )
     lake.write_snapshot(rows, str(tmp_path), "2024/03/01/09-00")
-    sizes = []
-    for folder, _, files in os.walk(tmp_path):
-        for name in files:
-            if name.endswith(".txt"):
-                with open(os.path.join(folder, name)) as f:
-                    sizes.append(len(json.load(f)))
+    sizes = [n for _, n in array_sizes(tmp_path)]
     assert sum(sizes) == 5000 and max(sizes) <= 1024 and len(sizes) >= 5
     counts = lake.scan_snapshots(spark, str(tmp_path)).groupBy("post_id").count()
     assert counts.where("post_id = 'hot'").first()["count"] == 1667
@@ -161,6 +172,22 @@ def test_many_runs_in_one_job(spark, events, tmp_path):
     assert by_run(back) == by_run(raw)
 
 
+def test_one_run_with_a_third_of_all_rows(spark, tmp_path):
+    row = raw_row()
+    rows = spark.range(0, 9000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "2024/03/01/09-00")
+        .otherwise(F.concat(F.lit("2024/02/"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"), F.lit("/18-00")))
+        .alias("run_id"),
+        *[F.col("id").cast("string").alias(c) if c == "post_id" else F.lit(row[c]).alias(c) for c in RAW_COLUMNS],
+    )
+    root = lake.write_snapshots(rows, str(tmp_path / "lake"))
+    sizes = array_sizes(root)
+    assert sum(n for _, n in sizes) == 9000 and max(n for _, n in sizes) <= 1024
+    back = lake.scan_snapshots(spark, root)
+    assert back.where("run_id = '2024/03/01/09-00'").count() == 3000
+    assert all_rows(back) == all_rows(rows)
+
+
 def test_bronze_prunes_by_day_and_is_exact(spark, tmp_path):
     root, bronze = str(tmp_path / "lake"), str(tmp_path / "bronze")
     cutoff = NOW - timedelta(days=7)
