@@ -80,8 +80,10 @@ class TermDictionary:
         live, seen = [], set()
         for category, names in categories.items():
             for name in names:
-                if name != name.lower():
-                    raise ValueError(f"term {name!r} is not lower case")
+                if name != name.lower() or not name:
+                    raise ValueError(f"term {name!r} is blank or not lower case")
+                if "\n" in name + category or "\t" in name + category:
+                    raise ValueError(f"term {name!r} or its category has a line break or tab")
                 if name in seen:
                     raise ValueError(f"term {name!r} is listed twice")
                 seen.add(name)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from pulse.schemas import RAW_COLUMNS, RAW_SCHEMA
 
-LAKE_FILES = "*.{json,txt}"
+# Array files of other writers, and the text parts of this one.
+LAKE_FILES = "{*.json,part-*.txt}"
 RECENT_DAYS = 7
 BRONZE_COLUMNS = ["run_id", *RAW_COLUMNS, "modified_at"]
 

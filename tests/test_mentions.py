@@ -130,6 +130,9 @@ def test_dictionary_is_validated():
         TermDictionary.build({"A": ["x1"], "B": ["x1"]})
     with pytest.raises(ValueError):
         TermDictionary.build({"A": ["Xyz"]})
+    for bad in ({"A": [""]}, {"A": ["x\ny"]}, {"A\t": ["xyz"]}):
+        with pytest.raises(ValueError):
+            TermDictionary.build(bad)
     with pytest.raises(ValueError):
         TermDictionary.build({"A": ["abc"]}, {"other": ["o"]})
     blocked = TermDictionary.build({"A": ["go", "tf", "abc"]}, {}, BLOCKED_TERMS, MIN_TERM_LENGTH)

@@ -48,6 +48,7 @@ def test_foreign_arrays_are_read_whole(spark, tmp_path):
 def test_other_files_are_ignored(spark, tmp_path):
     put(str(tmp_path), "2024/03/01/09-00", [raw_row(post_id="a")])
     (tmp_path / "2024" / "notes.csv").write_text("x")
+    (tmp_path / "2024" / "notes.txt").write_text("x")
     assert ids(lake.scan_snapshots(spark, str(tmp_path))) == ["a"]
 
 
