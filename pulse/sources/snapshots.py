@@ -144,7 +144,9 @@ def write_snapshots(posts, root):
 def write_bronze(snapshots, path, mode="append"):
     """Snapshots as Parquet below ``dt=``, the day their file was modified.
 
-    The rebalance splits a large day and merges small ones into even files.
+    The rebalance splits a large day and merges small ones into even files. A folder
+    has one kind of writer: what is added here to a folder the ingest stream writes is
+    not in that stream's log and would not be read.
     """
     dated = with_day(snapshots).hint("rebalance", "dt")
     dated.write.mode(mode).partitionBy("dt").parquet(path)

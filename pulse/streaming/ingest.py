@@ -19,7 +19,11 @@ def ingest_stream(spark, root, files_per_batch=FILES_PER_BATCH):
 
 
 def ingest_new(spark, root, bronze, checkpoint, files_per_batch=FILES_PER_BATCH):
-    """Append every file not ingested before, then stop. Running it again adds nothing."""
+    """Append every file not ingested before, then stop. Running it again adds nothing.
+
+    Ingest a run once it is final: files that replace those of an ingested run are new
+    files, so the run would be in ``bronze`` twice.
+    """
     query = (
         ingest_stream(spark, root, files_per_batch)
         .writeStream.format("parquet")
