@@ -32,6 +32,13 @@ from pulse.sources.spread import spread  # noqa: E402
 from pulse.streaming import ingest as stream_ingest  # noqa: E402
 from pulse.streaming import trend as stream_trend  # noqa: E402
 
+try:  # the subpackage may be left out; nothing else depends on it
+    from pulse.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("pulse.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The lake queries write the runs before this one first.
 LATER_RUNS = "2024/01/16"
@@ -298,7 +305,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every operator and report, over whole tables."""
+    more = llm_queries.queries() if llm_queries else {}
     return {
+        **more,
         # ingest
         "rank_limit": _on_items(_rank_limit),
         "valid_stories": _on_items(_valid_stories),
@@ -369,4 +378,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results as DuckDB SQL over the same tables."""
-    return oracle.statements()
+    return {**oracle.statements(), **(llm_queries.oracle_sql() if llm_queries else {})}
