@@ -1,8 +1,11 @@
 """Registered queries of this subpackage and their SQL."""
 
-from pulse.llm import line_quality
+from pulse.llm import chat_windows, line_quality, near_dups, scaled_sketch
 
 _MODULES = {
+    "op2_chat_windows": chat_windows,
+    "op3_scaled_sketch": scaled_sketch,
+    "op6_near_dups": near_dups,
     "op8_line_quality": line_quality,
 }
 
