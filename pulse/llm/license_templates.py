@@ -8,8 +8,8 @@ and the longest accepted stretch counts. Texts without any of a template's rare
 
 Base phrases are found wherever their words stand in a row; template matches are added.
 
-Defined cases: null text counts as empty (no words, no places, score 0); equal or nested
-matches of one label are each reported; repeated rows give equal results each; an empty
+Defined cases: null text counts as empty (no words, no places, score 0); matches of one
+template do not overlap (leftmost, longest), those of different ones may; repeated rows give equal results each; an empty
 table gives no rows; other columns are not looked at.
 """
 
@@ -173,13 +173,15 @@ class Scanner:
         ]
         if tried:
             openings = set().union(*[a.opening for _, a in tried])
+            behind = [0] * len(tried)  # end of the last match of each template
             for i, word in enumerate(words):
                 if word in openings:
-                    for label, automaton in tried:
-                        if word in automaton.opening:
+                    for k, (label, automaton) in enumerate(tried):
+                        if i >= behind[k] and word in automaton.opening:
                             end = automaton.longest(words, i)
                             if end is not None:
                                 found.append((label, i, end))
+                                behind[k] = end
         return len(words), base, found
 
 

@@ -60,6 +60,7 @@ class PieceEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype, self.spaced = np.dtype(dtype), spaced
         self.letters = _byte_letters()
+        self.packed = [np.array(i, self.dtype).tobytes() for i in range(self.vocabulary)]
         self.model = self.tokenizer.model
         self.normalizer = self.tokenizer.normalizer
         self.pre_tokenizer = self.tokenizer.pre_tokenizer
@@ -68,7 +69,8 @@ class PieceEncoder:
     def _word(self, word):
         ids = self.words.get(word)
         if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(word)], self.dtype).tobytes()
+            packed = self.packed
+            ids = b"".join([packed[t.id] for t in self.model.tokenize(word)])
             if len(word) <= MAX_PIECE:
                 if len(self.words) >= MAX_ENTRIES:
                     self.words.clear()
@@ -78,39 +80,59 @@ class PieceEncoder:
     def _piece(self, piece, lead):
         """Ids of one piece. Plain words need no pattern; all others are split by the library."""
         text = piece.decode("utf-8")
+        plain = text.isascii()
         if self.normalizer is not None:
-            text = text.lower() if text.isascii() else self.normalizer.normalize_str(text)
+            text = text.lower() if plain else self.normalizer.normalize_str(text)
         core = text.rstrip(".,")
         if core.isalpha():
-            word = core if core.isascii() else core.encode().decode("latin-1")
-            word = (lead + word).translate(self.letters)
-            ids = self._word(word)
-            return ids + self._word(text[len(core) :]) if len(core) < len(text) else ids
+            if plain:
+                word = ("\u0120" + core) if lead else core
+            else:
+                word = (lead.encode() + core.encode()).decode("latin-1").translate(self.letters)
+            if len(core) == len(text):
+                return self._word(word)
+            return self._word(word) + self._word(text[len(core) :])
         split = self.pre_tokenizer.pre_tokenize_str(lead + text)
         return b"".join([self._word(word) for word, _ in split])
 
+    def _new(self, pieces):
+        """Ids of pieces seen for the first time, or None if one of them is no safe cut."""
+        lead = " " if self.spaced else ""
+        new = {}
+        for piece in pieces:
+            if self.spaced and not _opens(piece):
+                return None
+            new[piece] = self._piece(piece, lead)
+        if len(self.pieces) + len(new) > MAX_ENTRIES:
+            self.pieces.clear()
+        for piece, ids in new.items():
+            if len(piece) <= MAX_PIECE:
+                self.pieces[piece] = ids
+        return new
+
     def text(self, text):
         """Packed ids of one text (bytes; None counts as empty)."""
         if not text:
             return b""
-        lead, known = " " if self.spaced else "", self.pieces
-        parts = text.split(b" ") if self.spaced else text.split()
-        found = list(map(known.get, parts))
-        if self.spaced and parts:
-            found[0] = self._piece(parts[0], "")
-        if None in found:
-            missing = {p for p, ids in zip(parts, found) if ids is None}
-            if self.spaced and not all(map(_opens, missing)):
-                parts = cut(text)
-                found = list(map(known.get, parts))
-                found[0] = self._piece(parts[0], "")
-                missing = {p for p, ids in zip(parts, found) if ids is None}
-            new = {p: self._piece(p, lead) for p in missing}
-            found = [new[p] if ids is None else ids for p, ids in zip(parts, found)]
-            if len(known) + len(new) > MAX_ENTRIES:
-                known.clear()
-            known.update((p, ids) for p, ids in new.items() if len(p) <= MAX_PIECE)
-        return b"".join(found)
+        if not self.spaced:
+            first, parts = b"", text.split()
+        else:
+            parts = text.split(b" ")
+            first = self._piece(parts.pop(0), "")
+        known = self.pieces
+        try:
+            return first + b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            pass
+        new = self._new(set(parts).difference(known))
+        if new is None:
+            first, *parts = cut(text)
+            first = self._piece(first, "")
+            new = self._new(set(parts).difference(known))
+        # the table may have been emptied meanwhile
+        get = known.get
+        found = [get(p) or new.get(p) or self._piece(p, " " if self.spaced else "") for p in parts]
+        return first + b"".join(found)
 
 
 _ENCODERS = {}

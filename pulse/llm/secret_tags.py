@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pulse.llm.arrow import map_arrow, record_batch
 
 SAMPLE = 2000  # documents
-STRETCHES = 400  # for training
+STRETCHES = 200  # for training
 
 # The patterns every scan must report, in this order.
 ASSIGN = re.compile(
@@ -263,7 +263,7 @@ def training_stretches(texts):
     return found[:STRETCHES]
 
 
-def train(examples, rounds=60, rate=0.1, hold=0.01):
+def train(examples, rounds=40, rate=0.1, hold=0.01):
     """Weights by gradient steps on the mean log likelihood; ``hold`` ties them to the start."""
     w0, t0 = starting_weights()
     w, t = w0.copy(), t0.copy()
@@ -314,7 +314,7 @@ def learn(docs, sample=SAMPLE):
         return starting_weights()
     chosen = docs.where(F.col("doc_id").isin(ids)).select("doc_id", F.col("text").cast("string").alias("text"))
     cut = map_arrow(chosen, _training_parts, "doc_id bigint, part int, text string, has_key boolean, code boolean")
-    rows = cut.orderBy("doc_id", "part").limit(20 * sample).collect()
+    rows = cut.orderBy("doc_id", "part").limit(2 * sample).collect()
     return train(training_stretches([r["text"] for r in rows]))
 
 
