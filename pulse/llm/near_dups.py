@@ -35,7 +35,9 @@ from pulse.session import shared_folder
 
 BANDS, ROWS = 50, 6
 POSITIONS = BANDS * ROWS
-SLACK = 0.18  # of similarity, for the agreement of signatures
+BITS = 256  # of the signature, compared before texts are read
+DEVIATIONS = 5.5
+FEW_IDS = 1_000_000  # ids up to which the texts' rows are chosen by a broadcast
 
 _M64 = (1 << 64) - 1
 
@@ -132,7 +134,7 @@ def band_keys(signature, bands=BANDS, rows=ROWS):
 
 
 def _sign(n):
-    """Arrow function: doc_id, text -> doc_id, n_shingles, same, agree, keys."""
+    """Arrow function: doc_id, text -> doc_id, n_shingles, same, bits, keys."""
 
     def run(batches, schema):
         known = {}
@@ -148,10 +150,11 @@ def _sign(n):
                 signature = super_minhash(np.concatenate(hashes), owner, len(group), POSITIONS)
                 keys = band_keys(signature).view(np.int64)
                 with np.errstate(over="ignore"):
-                    agree = (_mix(signature) & np.uint64(0xFF)).astype(np.uint8)
+                    bits = (_mix(signature[:, :BITS]) & np.uint64(1)).astype(np.uint8)
+                bits = np.packbits(bits, axis=1).view(np.int64)
                 for row, (i, size, same) in enumerate(group):
                     for column, value in zip(
-                        out, (i, size, same, agree[row].tobytes(), keys[row].tolist())
+                        out, (i, size, same, bits[row].tolist(), keys[row].tolist())
                     ):
                         column.append(value)
                 hashes.clear(), group.clear()
@@ -183,29 +186,26 @@ def sign(docs, n):
     signed = map_arrow(
         rows,
         _sign(n),
-        "doc_id bigint, n_shingles bigint, same binary, agree binary, keys array<bigint>",
+        "doc_id bigint, n_shingles bigint, same binary, bits array<bigint>, keys array<bigint>",
     )
     folder = shared_folder(docs.sparkSession, "signed")
     signed.write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
-def _agreement(percent):
-    """Arrow function: pairs whose signatures agree well enough."""
-    least = percent / 100 - SLACK
-
-    def run(batches, schema):
-        for batch in batches:
-            a = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8)
-            b = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8)
-            share = (a.reshape(-1, POSITIONS) == b.reshape(-1, POSITIONS)).mean(axis=1)
-            keep = np.flatnonzero(share >= least)
-            yield record_batch(
-                schema,
-                [batch.column(0).take(keep).to_pylist(), batch.column(1).take(keep).to_pylist()],
-            )
-
-    return run
+def may_link(x, y, percent):
+    """Condition on two member structs: sizes and signatures allow a link."""
+    agree = (1 + percent / 100) / 2
+    least = agree - DEVIATIONS * (agree * (1 - agree) / BITS) ** 0.5
+    apart = sum(
+        (F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(1, BITS // 64)),
+        F.bit_count(F.col(f"{x}.bits")[0].bitwiseXOR(F.col(f"{y}.bits")[0])),
+    )
+    return (
+        (100 * F.col(f"{x}.n_shingles") >= percent * F.col(f"{y}.n_shingles"))
+        & (100 * F.col(f"{y}.n_shingles") >= percent * F.col(f"{x}.n_shingles"))
+        & (apart <= int((1 - least) * BITS))
+    )
 
 
 def _confirm(n, percent):
@@ -228,93 +228,98 @@ def _confirm(n, percent):
     return run
 
 
-def confirmed(pairs, classes, docs, n, percent):
+def confirmed(pairs, docs, n, percent):
     """The pairs ``a, b`` that are links."""
-    sizes = classes.select("rep", "n_shingles", "agree")
-    a = sizes.toDF("a", "size_a", "agree_a")
-    b = sizes.toDF("b", "size_b", "agree_b")
-    near = (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .where(
-            (100 * F.col("size_a") >= percent * F.col("size_b"))
-            & (100 * F.col("size_b") >= percent * F.col("size_a"))
-        )
-        .select("a", "b", "agree_a", "agree_b")
-    )
     spark = docs.sparkSession
-    folder = shared_folder(spark, "pairs")
-    map_arrow(near, _agreement(percent), "a bigint, b bigint").write.parquet(folder)
-    near = spark.read.parquet(folder)
-    members = near.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    pairs = _written(pairs, "pairs")
+    members = _written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ids")
+    if members.count() <= FEW_IDS:  # otherwise both sides are shuffled
+        members = F.broadcast(members)
     texts = (
         docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("t"))
         .join(members, "rep", "left_semi")
         .dropDuplicates(["rep"])
     )
     with_texts = (
-        near.join(texts.toDF("b", "text_b"), "b")
+        pairs.join(texts.toDF("b", "text_b"), "b")
         .join(texts.toDF("a", "text_a"), "a")
         .select("a", "b", "text_a", "text_b")
     )
-    folder = shared_folder(spark, "links")
-    map_arrow(with_texts, _confirm(n, percent), "a bigint, b bigint").write.parquet(folder)
-    return spark.read.parquet(folder)
+    return _written(map_arrow(with_texts, _confirm(n, percent), "a bigint, b bigint"), "links")
+
+
+def _written(df, purpose):
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
 
 
 def components(docs, n=5, percent=80):
     """``doc_id, n_shingles, component_id`` for every row."""
-    spark = docs.sparkSession
     signed = sign(docs, n)
     # One row per word sequence: its smallest id stands for it.
-    classes = (
+    smallest = F.min(
+        F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "n_shingles", "bits", "keys")
+    )
+    classes = _written(
         signed.where("same IS NOT NULL")
         .groupBy("same")
-        .agg(
-            F.min(
-                F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "n_shingles", "agree", "keys")
-            ).alias("r")
-        )
+        .agg(smallest.alias("r"))
         .select(
             "same", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n_shingles"),
-            F.col("r.agree").alias("agree"), F.col("r.keys").alias("keys"),
-        )
+            F.col("r.bits").alias("bits"), F.col("r.keys").alias("keys"),
+        ),
+        "classes",
+    )
+    # Buckets with more than one member. The keys are shuffled once, for both uses.
+    members = (
+        classes.where("rep IS NOT NULL").select("rep", F.explode("keys").alias("key")).repartition("key")
+    )
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    about = classes.select("rep", F.struct("rep", "n_shingles", "bits").alias("x"))
+    members = _written(
+        members.join(shared.select("key"), "key").join(about.dropDuplicates(["rep"]), "rep").select("key", "x"),
+        "buckets",
     )
-    folder = shared_folder(spark, "classes")
-    classes.write.parquet(folder)
-    classes = spark.read.parquet(folder)
-    members = classes.select("rep", F.explode("keys").alias("key"))
-    first = members.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("size"))
-    members = members.join(first.where("size > 1"), "key")
-    folder = shared_folder(spark, "buckets")
-    members.select("key", "rep", "a").write.parquet(folder)
-    members = spark.read.parquet(folder)
-    pairs = members.where("a < rep").select("a", F.col("rep").alias("b")).distinct()
-    links = confirmed(pairs, classes, docs, n, percent)
+    first = members.groupBy("key").agg(F.min("x").alias("y"))
+    pairs = (
+        members.join(first, "key")
+        .where("y.rep < x.rep")
+        .where(may_link("x", "y", percent))
+        .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
+        .distinct()
+    )
+    links = confirmed(pairs, docs, n, percent)
     groups = smallest_reachable(links)
 
     # Buckets with members of several components.
-    placed = members.join(groups.toDF("rep", "component"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
+    placed = _written(
+        members.withColumn("rep", F.col("x.rep"))
+        .join(groups.toDF("rep", "c"), "rep", "left")
+        .select("key", "x", F.coalesce("c", "rep").alias("c")),
+        "placed",
     )
-    counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
     mixed = (
         counts.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "component")).alias("big"))
+        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "c")).alias("big"))
         .where("parts > 1")
-        .select("key", F.col("big.component").alias("largest"))
+        .select("key", F.col("big.c").alias("largest"))
     )
     placed = placed.join(mixed, "key")
-    left = placed.where("component != largest").select(
-        "key", F.col("rep").alias("x"), F.col("component").alias("c")
-    )
-    right = placed.select("key", F.col("rep").alias("y"), F.col("component").alias("d"))
-    across = left.join(right, "key").where("c != d").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    left = placed.where("c != largest").select("key", "x", "c")
+    right = placed.select("key", F.col("x").alias("y"), F.col("c").alias("d"))
+    across = (
+        left.join(right, "key")
+        .where("c != d")
+        .where(may_link("x", "y", percent))
+        .select(
+            F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
+        )
+        .distinct()
     )
-    more = confirmed(across.distinct().join(pairs, ["a", "b"], "left_anti"), classes, docs, n, percent)
-    links = links.unionByName(more)
-    groups = smallest_reachable(links)
+    more = confirmed(across.join(pairs, ["a", "b"], "left_anti"), docs, n, percent)
+    groups = smallest_reachable(links.unionByName(more))
 
     named = (
         classes.select("same", "rep")
