@@ -28,6 +28,7 @@ MIN_TEXTS = 20
 DEPLETED = 0.5
 # Beyond so many distinct repeated windows, places are found by sorting, not by search.
 FEW_WINDOWS = 64
+FEW_KEYS = 1_000_000  # rejected rows up to which they are broadcast
 
 
 def _with_repeat_words(docs):
@@ -159,46 +160,48 @@ def removed_words(docs, host="source", share=SHARE, min_texts=MIN_TEXTS):
     )
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def _key(host):
+    return row_key(
+        F.col("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("")), text_or_empty()
+    )
+
+
 def quality_verdicts(docs, host="source", share=SHARE, min_texts=MIN_TEXTS, depleted=DEPLETED):
-    """All columns of ``docs`` plus the counts, ``base_failed`` and ``kept``."""
-    names = docs.columns
-    host_name = F.coalesce(F.col(host).cast("string"), F.lit(""))
-    counted = text_counts(
-        docs.select(*[F.col(c).alias(f"d_{c}") for c in names])
-        .withColumn("_text", text_or_empty("d_text"))
-        .withColumn(
-            "key",
-            row_key(
-                F.col("d_doc_id"), F.coalesce(F.col(f"d_{host}").cast("string"), F.lit("")),
-                F.col("_text"),
-            ),
-        )
-    ).drop("_text")
+    """``doc_id``, ``key``, the counts, ``base_failed`` and ``kept`` of every row."""
+    rows = docs.select("doc_id", _key(host).alias("key"), text_or_empty().alias("_text"))
+    counted = text_counts(rows).drop("_text")
     removed = removed_words(docs, host, share, min_texts)
-    joined = counted.join(removed, "key", "left")
     poor = F.coalesce(F.col("removed"), F.lit(0)) > depleted * F.col("n_words")
-    return joined.select(
-        *[F.col(f"d_{c}").alias(c) for c in names],
-        *[F.col(c).alias(f"q_{c}") for c in COUNTS],
-        F.col("base_failed").alias("q_base_failed"),
-        (~F.col("base_failed") & ~poor).alias("q_kept"),
+    return counted.join(removed, "key", "left").select(
+        "doc_id", "key", *COUNTS, "base_failed", (~F.col("base_failed") & ~poor).alias("kept")
     )
 
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-
+def keep_good(docs, host="source", **options):
+    """The rows of ``docs`` that pass, with their columns.
 
-def keep_good(docs, **options):
-    """The rows of ``docs`` that pass, with their columns."""
-    return quality_verdicts(docs, **options).where("q_kept").select(*docs.columns)
+    Verdicts are written down before they are used: a filter on them would be pushed into
+    the counts and build their arrays once per word.
+    """
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "verdicts")
+    quality_verdicts(docs, host, **options).select("key", "kept").write.parquet(folder)
+    rejected = spark.read.parquet(folder).where("NOT kept").select("key.a", "key.b").distinct()
+    if rejected.count() <= FEW_KEYS:  # otherwise both sides are shuffled
+        rejected = F.broadcast(rejected)
+    rejected = rejected.toDF("_a", "_b")
+    key = _key(host)
+    return docs.join(
+        rejected, (key["a"] == F.col("_a")) & (key["b"] == F.col("_b")), "left_anti"
+    )
 
 
 def query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return quality_verdicts(docs).select(
-        "doc_id",
-        *[F.col(f"q_{c}").alias(c) for c in (*COUNTS, "base_failed", "kept")],
-    )
+    return quality_verdicts(docs).drop("key")
 
 
 ORACLE = r"""

@@ -197,10 +197,9 @@ def may_link(x, y, percent):
     """Condition on two member structs: sizes and signatures allow a link."""
     agree = (1 + percent / 100) / 2
     least = agree - DEVIATIONS * (agree * (1 - agree) / BITS) ** 0.5
-    apart = sum(
-        (F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(1, BITS // 64)),
-        F.bit_count(F.col(f"{x}.bits")[0].bitwiseXOR(F.col(f"{y}.bits")[0])),
-    )
+    apart = F.lit(0)
+    for k in range(BITS // 64):
+        apart += F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k]))
     return (
         (100 * F.col(f"{x}.n_shingles") >= percent * F.col(f"{y}.n_shingles"))
         & (100 * F.col(f"{y}.n_shingles") >= percent * F.col(f"{x}.n_shingles"))
@@ -332,10 +331,15 @@ def components(docs, n=5, percent=80):
 
 
 def keep_one(docs, n=5, percent=80):
-    """The rows of ``docs`` that stand for their component, with their columns."""
-    found = components(docs, n, percent).where("doc_id = component_id OR doc_id IS NULL")
-    kept = found.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """The rows of ``docs`` that stand for their component, with their columns.
+
+    Rows without ``doc_id`` and rows that share the id of a kept one stay.
+    """
+    others = components(docs, n, percent).where("doc_id != component_id")
+    others = _written(others.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    if others.count() <= FEW_IDS:  # otherwise both sides are shuffled
+        others = F.broadcast(others)
+    return docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def query(spark, sf_dir):
