@@ -34,7 +34,7 @@ from pulse.streaming import trend as stream_trend  # noqa: E402
 
 try:  # the subpackage may be left out; nothing else depends on it
     from pulse.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("pulse.llm", "corpus_pipeline"):
         raise
     llm_queries = None
