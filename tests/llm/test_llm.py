@@ -114,8 +114,9 @@ def test_stretches_decode_like_whole_texts():
     assert found == {s for s in starts if not any(a <= s < b for _, a, b, _ in base)}
 
 
-def test_training_finds_what_patterns_find(real):
-    examples = secret_tags.training_stretches([t or "" for t in real.values()])
+def test_training_finds_what_patterns_find(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    examples = secret_tags.training_stretches([r.text or "" for r in rows])
     weights = secret_tags.train(examples)
     wrong = sum(
         secret_tags.viterbi(f, *weights) != tags for f, tags in examples if any(tags)
@@ -135,7 +136,7 @@ def test_masking_keeps_columns(spark, odd):
 
 def test_windows_repeat_system_and_history(spark):
     turns = [(1, 0, "system", "rules")]
-    for i in range(1, 40):
+    for i in range(1, 100):
         turns.append((1, i, "assistant" if i % 2 == 0 else "user", f"{i} " * 60 + "<s>\\[INST] \\n"))
     turns += [(2, None, None, None), (2, 1, "user", ""), (None, 0, "assistant", "x"), (None, 0, "assistant", "x")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn(
@@ -146,8 +147,8 @@ def test_windows_repeat_system_and_history(spark):
     for w in windows[1:]:
         assert w.text.startswith("<s>[INST]system[/INST]rules</s>") and w.n_repeated == 3
     read = {r.conv_id: r for r in chat_windows.read_windows(chat_windows.format_windows(df)).collect()}
-    assert read[1].learned == "".join(t for _, _, r, t in turns[:40] if r == "assistant")
-    assert read[1].turns == "".join(f"{r}\n{t}\n" for _, _, r, t in turns[:40])
+    assert read[1].learned == "".join(t for _, _, r, t in turns[:100] if r == "assistant")
+    assert read[1].turns == "".join(f"{r}\n{t}\n" for _, _, r, t in turns[:100])
     assert read[2].n_turns == 2 and read[2].turns == "\n\nuser\n\n"
     assert read[None].learned == "xx"
     assert chat_windows.format_windows(df.limit(0)).count() == 0
@@ -212,7 +213,7 @@ def test_templates_need_their_mandatory_words():
     assert accepts("a b c") is None and accepts("a b x y z c") is None and accepts("a x c") is None
     scanner = license_templates.Scanner()
     _, base, found = scanner.scan(b"This work is licensed under the GNU General Public License, version 3.")
-    assert base == [("gpl", 6, 9)] and found == [("gpl-3.0", 0, 11)]
+    assert base == [("gpl", 7, 10)] and found == [("gpl-3.0", 0, 12)]
     assert scanner.scan(b"licensed under the GNU Lesser General Public License, version 3")[2] == []
 
 
@@ -415,7 +416,7 @@ def test_near_dups_on_odd_tables(spark, odd, none):
 
 
 def test_shared_lines_deplete(spark, odd, none):
-    boiler = "\n".join("menu item number %d of the page" % i for i in range(6))
+    boiler = "\n".join(" ".join(f"m{i}w{k}" for k in range(8)) for i in range(6))
     rows = [(i, boiler + f"\nown words {i} " + " ".join(f"u{i}x{k}" for k in range(20)), "h") for i in range(40)]
     rows += [(100 + i, " ".join(f"c{i % 3}y{k}" for k in range(80)), "h") for i in range(60)]
     rows += [(200, None, None), (201, "", "h"), (202, " ".join(["echo"] * 70), "h")]
