@@ -3,8 +3,9 @@
 1. One pass over the texts gives each row its number of shingles, a digest of its word
    sequence, and the keys of its bands. Rows with one word sequence become a class with
    one representative (partial minimum, so a huge group of copies sends one row per task).
-2. In every band the rows with one key are a bucket. Each member is paired with the
-   smallest member; the pairs are confirmed and joined into components.
+2. In every band the rows with one key are a bucket. Each member is paired with the member
+   that meets most others over all its bands, which in a group of near copies is the text
+   they were made from; the pairs are confirmed and joined into components.
 3. Buckets that still hold several components pair the members outside the largest one
    with the members of other components, and these pairs are confirmed too. After that
    every pair of a bucket is confirmed, refused, or inside one component, so no link between
@@ -35,8 +36,8 @@ from pulse.session import shared_folder
 
 BANDS, ROWS = 50, 6
 POSITIONS = BANDS * ROWS
-BITS = 256  # of the signature, compared before texts are read
-DEVIATIONS = 5.5
+COMPARED = 288  # positions compared before texts are read, 32 to a long
+DEVIATIONS = 5
 FEW_IDS = 1_000_000  # ids up to which the texts' rows are chosen by a broadcast
 
 _M64 = (1 << 64) - 1
@@ -150,8 +151,9 @@ def _sign(n):
                 signature = super_minhash(np.concatenate(hashes), owner, len(group), POSITIONS)
                 keys = band_keys(signature).view(np.int64)
                 with np.errstate(over="ignore"):
-                    bits = (_mix(signature[:, :BITS]) & np.uint64(1)).astype(np.uint8)
-                bits = np.packbits(bits, axis=1).view(np.int64)
+                    two = (_mix(signature[:, :COMPARED]) & np.uint64(3)).astype(np.uint8)
+                bits = np.packbits(np.stack([two >> 1, two & 1], axis=2).reshape(len(group), -1), axis=1)
+                bits = bits.view(np.int64)
                 for row, (i, size, same) in enumerate(group):
                     for column, value in zip(
                         out, (i, size, same, bits[row].tolist(), keys[row].tolist())
@@ -195,15 +197,17 @@ def sign(docs, n):
 
 def may_link(x, y, percent):
     """Condition on two member structs: sizes and signatures allow a link."""
-    agree = (1 + percent / 100) / 2
-    least = agree - DEVIATIONS * (agree * (1 - agree) / BITS) ** 0.5
+    agree = 0.25 + 0.75 * percent / 100
+    least = agree - DEVIATIONS * (agree * (1 - agree) / COMPARED) ** 0.5
     apart = F.lit(0)
-    for k in range(BITS // 64):
-        apart += F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k]))
+    for k in range(COMPARED // 32):
+        differ = F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])
+        either = differ.bitwiseOR(F.shiftrightunsigned(differ, 1))
+        apart += F.bit_count(either.bitwiseAND(F.lit(0x5555555555555555)))
     return (
         (100 * F.col(f"{x}.n_shingles") >= percent * F.col(f"{y}.n_shingles"))
         & (100 * F.col(f"{y}.n_shingles") >= percent * F.col(f"{x}.n_shingles"))
-        & (apart <= int((1 - least) * BITS))
+        & (apart <= int((1 - least) * COMPARED))
     )
 
 
@@ -275,17 +279,18 @@ def components(docs, n=5, percent=80):
         classes.where("rep IS NOT NULL").select("rep", F.explode("keys").alias("key")).repartition("key")
     )
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    about = classes.select("rep", F.struct("rep", "n_shingles", "bits").alias("x"))
-    members = _written(
-        members.join(shared.select("key"), "key").join(about.dropDuplicates(["rep"]), "rep").select("key", "x"),
-        "buckets",
+    members = _written(members.join(shared, "key"), "buckets")
+    meets = members.groupBy("rep").agg(F.sum("size").alias("meets"))
+    about = meets.join(classes.dropDuplicates(["rep"]), "rep").select(
+        "rep", F.struct("meets", "rep", "n_shingles", "bits").alias("x")
     )
-    first = members.groupBy("key").agg(F.min("x").alias("y"))
+    members = _written(members.join(about, "rep").select("key", "x"), "buckets")
+    first = members.groupBy("key").agg(F.max("x").alias("y"))
     pairs = (
         members.join(first, "key")
-        .where("y.rep < x.rep")
+        .where("y.rep != x.rep")
         .where(may_link("x", "y", percent))
-        .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
+        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()
     )
     links = confirmed(pairs, docs, n, percent)
