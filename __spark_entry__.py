@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import time
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -13,7 +12,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from checks import events_feed as feed  # noqa: E402
 from checks import oracle  # noqa: E402
+from checks.lake_times import set_times  # noqa: E402
 from pulse.functions import scalars as S  # noqa: E402
 from pulse.functions.mentions import (  # noqa: E402
     extract_mentions, mentions_json, parse_mentions,
@@ -25,10 +26,8 @@ from pulse.operators import ingest, transform  # noqa: E402
 from pulse.plans import activity, categories, overview, status, stories, tools, trend  # noqa: E402
 from pulse.schemas import RAW_COLUMNS  # noqa: E402
 from pulse.session import shared_folder  # noqa: E402
-from pulse.sources import events_feed as feed  # noqa: E402
 from pulse.sources import snapshots as lake  # noqa: E402
 from pulse.sources import tables  # noqa: E402
-from pulse.sources.spread import spread  # noqa: E402
 from pulse.streaming import ingest as stream_ingest  # noqa: E402
 from pulse.streaming import trend as stream_trend  # noqa: E402
 
@@ -52,11 +51,6 @@ def _raw(spark, sf_dir):
     return feed.raw_posts(_events(spark, sf_dir))
 
 
-def _spread_raw(spark, sf_dir):
-    """For queries that tag or parse every row."""
-    return feed.raw_posts(spread(_events(spark, sf_dir)))
-
-
 def _on_posts(plan, **options):
     def run(spark, sf_dir):
         return plan(transform.build_posts(_raw(spark, sf_dir)), **options)
@@ -66,26 +60,26 @@ def _on_posts(plan, **options):
 
 def _on_mentions(plan, **options):
     def run(spark, sf_dir):
-        return plan(transform.build_mentions(_spread_raw(spark, sf_dir)), **options)
+        return plan(transform.build_mentions(_raw(spark, sf_dir)), **options)
 
     return run
 
 
 def _on_both(plan):
     def run(spark, sf_dir):
-        raw = _spread_raw(spark, sf_dir)
+        raw = _raw(spark, sf_dir)
         return plan(transform.build_posts(raw), transform.build_mentions(raw))
 
     return run
 
 
 def _on_raw(plan):
-    return lambda spark, sf_dir: plan(_spread_raw(spark, sf_dir))
+    return lambda spark, sf_dir: plan(_raw(spark, sf_dir))
 
 
 def _on_items(plan):
     def run(spark, sf_dir):
-        events = spread(_events(spark, sf_dir))
+        events = _events(spark, sf_dir)
         return plan(ingest.union_sources(*feed.landed_items(events)))
 
     return run
@@ -111,7 +105,7 @@ def _union_sources(landed):
 
 
 def _extract_mentions(spark, sf_dir):
-    rows = feed.stories(spread(_events(spark, sf_dir)))
+    rows = feed.stories(_events(spark, sf_dir))
     return rows.select(
         F.col("event_id").cast("string").alias("post_id"),
         F.explode(extract_mentions(F.col("title"))).alias("tool", "category"),
@@ -123,7 +117,7 @@ def _document_mentions(spark, sf_dir):
     words = TermDictionary.build(
         {**CATEGORIES, **oracle.COMMON_WORDS}, SUBSTRING_NEEDLES, BLOCKED_TERMS, MIN_TERM_LENGTH
     )
-    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return documents.select(
         "doc_id", F.explode(extract_mentions(F.col("text"), words)).alias("tool", "category")
     )
@@ -134,12 +128,12 @@ def _mention_count(raw):
 
 
 def _dedup_first(spark, sf_dir):
-    copies = feed.story_copies(spread(_events(spark, sf_dir)))
+    copies = feed.story_copies(_events(spark, sf_dir))
     return ingest.dedup_first(copies).select("run_id", "rank", *RAW_COLUMNS)
 
 
 def _dedup_latest(spark, sf_dir):
-    copies = feed.story_copies(spread(_events(spark, sf_dir))).select(*RAW_COLUMNS, "run_id")
+    copies = feed.story_copies(_events(spark, sf_dir)).select(*RAW_COLUMNS, "run_id")
     return ingest.dedup_latest(copies)
 
 
@@ -198,22 +192,20 @@ def _snapshot_rows(df):
 
 
 def _scan_snapshots(spark, sf_dir):
-    root = lake.write_snapshots(_spread_raw(spark, sf_dir), shared_folder(spark, "lake"))
+    root = lake.write_snapshots(_raw(spark, sf_dir), shared_folder(spark, "lake"))
     return _snapshot_rows(lake.scan_snapshots(spark, root))
 
 
 def _two_arrivals(spark, sf_dir):
-    """A lake whose later runs arrived later, and the instant in between."""
+    """A lake whose later runs arrived a day later, and the cutoff in between."""
     raw = _raw(spark, sf_dir)
     root = shared_folder(spark, "lake")
     early, late = F.col("run_id") < LATER_RUNS, F.col("run_id") >= LATER_RUNS
-    lake.write_snapshots(raw.where(early), f"{root}/early")
-    newest = F.max(F.unix_millis("modified_at"))
-    last = lake.scan_snapshots(spark, f"{root}/early").agg(newest).first()[0]
-    instant = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=last + 1)
-    time.sleep(1.1)  # some stores keep whole seconds only
-    lake.write_snapshots(raw.where(late), f"{root}/late")
-    return root, instant + timedelta(days=lake.RECENT_DAYS)
+    arrived = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for name, rows, days in (("early", early, 0), ("late", late, 3)):
+        lake.write_snapshots(raw.where(rows), f"{root}/{name}")
+        set_times(spark, f"{root}/{name}", arrived + timedelta(days=days))
+    return root, arrived + timedelta(days=2 + lake.RECENT_DAYS)
 
 
 def _scan_recent(spark, sf_dir):
@@ -232,13 +224,13 @@ def _scan_recent_bronze(spark, sf_dir):
 def _write_snapshot(spark, sf_dir):
     """The whole feed as one run, far above the usual size of a run."""
     root = shared_folder(spark, "lake")
-    lake.write_snapshot(_spread_raw(spark, sf_dir), root, "2024/02/01/09-00")
+    lake.write_snapshot(_raw(spark, sf_dir), root, "2024/02/01/09-00")
     return _snapshot_rows(lake.scan_snapshots(spark, root))
 
 
 def _run_count(spark, sf_dir):
-    root = lake.write_snapshots(_spread_raw(spark, sf_dir), shared_folder(spark, "lake"))
-    return status.run_count(lake.scan_snapshots(spark, root))
+    root = lake.write_snapshots(_raw(spark, sf_dir), shared_folder(spark, "lake"))
+    return status.run_count(lake.lake_runs(spark, root))
 
 
 def _incremental_ingest(spark, sf_dir):
@@ -255,16 +247,27 @@ def _incremental_ingest(spark, sf_dir):
     return _snapshot_rows(lake.scan_bronze(spark, bronze))
 
 
+def _rewritten_ingest(spark, sf_dir):
+    """A run that is written again with other rows after it was ingested."""
+    raw = _raw(spark, sf_dir)
+    root, bronze = shared_folder(spark, "lake"), shared_folder(spark, "bronze")
+    checkpoint = shared_folder(spark, "ingest-state")
+    for rows in (F.col("run_id") < LATER_RUNS, F.col("run_id") >= LATER_RUNS):
+        lake.write_snapshot(raw.where(rows), root, "2024/02/01/09-00")
+        stream_ingest.ingest_new(spark, root, bronze, checkpoint)
+    return _snapshot_rows(lake.scan_bronze(spark, bronze))
+
+
 def _load_posts(spark, sf_dir):
-    return tables.load_tables(_spread_raw(spark, sf_dir), shared_folder(spark, "tables")).posts
+    return tables.load_tables(_raw(spark, sf_dir), shared_folder(spark, "tables")).posts
 
 
 def _load_mentions(spark, sf_dir):
-    return tables.load_tables(_spread_raw(spark, sf_dir), shared_folder(spark, "tables")).mentions
+    return tables.load_tables(_raw(spark, sf_dir), shared_folder(spark, "tables")).mentions
 
 
 def _loaded_counts(spark, sf_dir):
-    loaded = tables.load_tables(_spread_raw(spark, sf_dir), shared_folder(spark, "tables"))
+    loaded = tables.load_tables(_raw(spark, sf_dir), shared_folder(spark, "tables"))
     return status.loaded_counts(loaded.posts, loaded.mentions)
 
 
@@ -324,6 +327,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_recent_bronze": _scan_recent_bronze,
         "write_snapshot": _write_snapshot,
         "incremental_ingest": _incremental_ingest,
+        "rewritten_ingest": _rewritten_ingest,
         "run_count": _run_count,
         # cleaning and tables
         "clean_authors": _on_raw(_clean_authors),

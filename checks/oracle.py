@@ -272,6 +272,9 @@ FROM documents d JOIN needles n ON contains(' ' || lower(d.text) || ' ', n.needl
     sql["write_snapshot"] = _raw(f"SELECT '2024/02/01/09-00' AS run_id, {RAW_COLUMNS} FROM raw")
     sql["scan_recent_bronze"] = _raw(snapshot_rows + " WHERE run_id >= '2024/01/16'")
     sql["incremental_ingest"] = _raw(snapshot_rows)
+    sql["rewritten_ingest"] = _raw(
+        f"SELECT '2024/02/01/09-00' AS run_id, {RAW_COLUMNS} FROM raw WHERE run_id >= '2024/01/16'"
+    )
     sql["run_count"] = _feed("SELECT COUNT(DISTINCT run_id) AS runs FROM feed")
 
     # Cleaning

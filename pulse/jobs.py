@@ -5,6 +5,9 @@
     python -m pulse.jobs refresh --lake s3a://b/raw --tables s3a://b/tables
     python -m pulse.jobs refresh --bronze s3a://b/bronze --tables s3a://b/tables
     python -m pulse.jobs show    --tables s3a://b/tables --page overview
+    python -m pulse.jobs show    --tables s3a://b/tables --page stories --source best --out s3a://b/out
+    python -m pulse.jobs trend   --tables s3a://b/tables --out s3a://b/trend
+    python -m pulse.jobs trend   --tables s3a://b/tables --out s3a://b/trend --state s3a://b/trend-state
 """
 
 import argparse
@@ -13,19 +16,26 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from pulse.operators.ingest import normalize_items
+from pulse.plans import stories, trend
 from pulse.plans.dashboard import PAGES
 from pulse.plans.status import loaded_counts
+from pulse.schemas import MENTIONS_SCHEMA
 from pulse.session import build_session
 from pulse.sources import snapshots as lake
 from pulse.sources import tables
+from pulse.streaming import trend as stream_trend
 from pulse.streaming.ingest import ingest_new
 
 LANDED_SCHEMA = "source string, rank int, item string"
 
 
 def read_landed(spark, path, run_id):
-    """Landed items of one run: JSON lines of list, place and the story object."""
-    return spark.read.schema(LANDED_SCHEMA).json(path).withColumn("run_id", F.lit(run_id))
+    """Landed items of one run: JSON lines of list, place and the story object.
+
+    A damaged line fails the job: its rank would be null and the rank limit would drop it.
+    """
+    lines = spark.read.schema(LANDED_SCHEMA).option("mode", "FAILFAST").json(path)
+    return lines.withColumn("run_id", F.lit(run_id))
 
 
 def ingest_run(spark, items, lake_root, run_id, now=None):
@@ -48,6 +58,34 @@ def refresh_tables(spark, tables_root, lake_root=None, local_root="data/raw", br
     return tables.refresh(raw, tables_root, compat=compat, dedup=dedup)
 
 
+def show_frames(frames, out=None, rows=None):
+    """Print every frame in full, or its first ``rows``; with ``out`` write them instead."""
+    for name, frame in frames.items():
+        if out:
+            frame.write.mode("overwrite").json(f"{out.rstrip('/')}/{name}")
+        else:
+            print(name)
+            frame.show(max(1, rows or frame.count()), truncate=False)
+
+
+def write_trend(spark, tables_root, out, state=None):
+    """The moving 7-day trend over the stored mentions.
+
+    With ``state`` it runs as a stream over the current copy of the table and adds the
+    windows that closed since the last start; a refresh starts a new copy, so a stream's
+    state belongs to one load.
+    """
+    mentions = tables.open_tables(spark, tables_root).mentions
+    if not state:
+        trend.rolling_trend(trend.with_fetched_time(mentions)).write.mode("overwrite").parquet(out)
+        return out
+    session = stream_trend.state_session(spark)
+    stream = session.readStream.schema(MENTIONS_SCHEMA).parquet(
+        tables.mentions_path(spark, tables_root)
+    )
+    return stream_trend.run_trend(stream, out, state)
+
+
 def main(argv=None):
     parser = argparse.ArgumentParser(prog="pulse.jobs")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -72,7 +110,17 @@ def main(argv=None):
 
     show = commands.add_parser("show")
     show.add_argument("--tables", required=True)
-    show.add_argument("--page", choices=list(PAGES), required=True)
+    show.add_argument("--page", choices=list(PAGES))
+    show.add_argument("--category", help="drill-down of the categories page")
+    show.add_argument("--source", default=stories.ALL_SOURCES, help="list of the stories page")
+    show.add_argument("--term", help="posts that mention a term")
+    show.add_argument("--rows", type=int, help="print only so many rows of each frame")
+    show.add_argument("--out", help="write the frames here as JSON lines instead")
+
+    moving = commands.add_parser("trend")
+    moving.add_argument("--tables", required=True)
+    moving.add_argument("--out", required=True)
+    moving.add_argument("--state", help="run as a stream with its state here")
 
     args = parser.parse_args(argv)
     spark = build_session(f"pulse-{args.command}")
@@ -85,11 +133,18 @@ def main(argv=None):
             spark, args.tables, args.lake, args.local, args.bronze, args.days, dedup=args.dedup
         )
         loaded_counts(loaded.posts, loaded.mentions).show()
+    elif args.command == "trend":
+        print(write_trend(spark, args.tables, args.out, args.state))
     else:
         opened = tables.open_tables(spark, args.tables)
-        for name, frame in PAGES[args.page](opened.posts, opened.mentions).items():
-            print(name)
-            frame.show(50, truncate=False)
+        frames = {}
+        if args.page:
+            options = {"categories": {"category": args.category}, "stories": {"source": args.source}}
+            page = PAGES[args.page]
+            frames = page(opened.posts, opened.mentions, **options.get(args.page, {}))
+        if args.term:
+            frames["mentioning"] = stories.posts_mentioning(opened.posts, args.term)
+        show_frames(frames, args.out, args.rows)
 
 
 if __name__ == "__main__":

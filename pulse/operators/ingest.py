@@ -95,7 +95,7 @@ def dedup_first(posts):
     exchange, so copies of one post never gather in a task.
     """
     order = Window.partitionBy("run_id", "post_id").orderBy(
-        source_priority(F.col("source")), "rank", *_tie_breakers(posts, "rank")
+        source_priority(F.col("source")), "rank", *_tie_breakers(posts, "run_id", "post_id", "rank")
     )
     return _first(posts, order)
 
@@ -105,14 +105,15 @@ def dedup_latest(posts):
     order = Window.partitionBy("post_id").orderBy(
         F.desc_nulls_last("fetched_at"),
         source_priority(F.col("source")),
-        *_tie_breakers(posts, "fetched_at"),
+        *_tie_breakers(posts, "post_id", "fetched_at"),
     )
     return _first(posts, order)
 
 
 def _tie_breakers(posts, *used):
-    taken = {"run_id", "post_id", *used}
-    return [c for c in posts.columns if c not in taken]
+    """All columns the order does not have yet, so that it is a total one; the run last."""
+    rest = [c for c in posts.columns if c not in used]
+    return sorted(rest, key=lambda c: c == "run_id")
 
 
 def _first(posts, window):

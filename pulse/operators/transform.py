@@ -20,13 +20,12 @@ def transform(raw, dedup=None):
     """Cleaned posts with ``mentions`` as a map; narrow, one stage.
 
     A post that was seen in several runs counts once per run. ``dedup="latest"`` keeps
-    only its last snapshot, at the price of one exchange.
+    only its last snapshot, at the price of one exchange; a story whose author is gone by
+    then goes as a whole.
     """
     if dedup not in (None, "latest"):
         raise ValueError(f"unknown dedup mode {dedup!r}")
-    rows = clean_authors(raw)
-    if dedup == "latest":
-        rows = dedup_latest(rows)
+    rows = clean_authors(dedup_latest(raw) if dedup == "latest" else raw)
     score = S.or_zero(F.col("score")).cast("int")
     comments = S.or_zero(F.col("num_comments")).cast("int")
     epoch = F.col("created_utc")

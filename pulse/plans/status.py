@@ -21,9 +21,9 @@ def status_totals(posts, mentions):
     )
 
 
-def run_count(snapshots):
-    """Runs by the lake path they were read from."""
-    return snapshots.agg(F.countDistinct("run_id").alias("runs"))
+def run_count(runs):
+    """Number of runs, from their listing (``lake_runs``) or from snapshot rows."""
+    return runs.agg(F.countDistinct("run_id").alias("runs"))
 
 
 def recent_runs(posts, limit=RECENT_RUNS):

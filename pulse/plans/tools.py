@@ -40,15 +40,20 @@ def tool_source_counts(mentions):
     return mentions.groupBy("tool", "source").agg(row_count("mentions"))
 
 
-def tool_source_pivot(mentions, sources=SOURCES):
+def tool_source_pivot(mentions, sources=None):
     """One row per tool, one column per list, 0 where they never met.
 
-    Naming the lists spares a pass over the data to find them.
+    Without ``sources`` the lists are the usual ones and whatever else occurs; their names
+    come from the counts, one row per tool and list.
     """
+    counts = tool_source_counts(mentions)
+    if sources is None:
+        found = counts.where(F.col("source").isNotNull()).select("source").distinct().collect()
+        sources = {*SOURCES, *(row["source"] for row in found)}
     return (
-        mentions.groupBy("tool")
+        counts.groupBy("tool")
         .pivot("source", sorted(sources))
-        .agg(F.count(F.lit(1)))
+        .agg(F.sum("mentions"))
         .na.fill(0)
         .orderBy("tool")
     )

@@ -4,21 +4,33 @@ Array files cannot be split, so a scan runs one task per file at best. ``write_b
 turns them into Parquet once; everything at scale reads that.
 """
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulse.schemas import RAW_COLUMNS, RAW_SCHEMA
 
 # Array files of other writers, and the text parts of this one.
 LAKE_FILES = "{*.json,part-*.txt}"
 RECENT_DAYS = 7
-BRONZE_COLUMNS = ["run_id", *RAW_COLUMNS, "modified_at"]
-
-# At most 2^10 rows share one array document, whatever the size of a run; a run of the
-# usual size fits in one.
-_DOCUMENT_BITS = 10
+BRONZE_COLUMNS = ["run_id", *RAW_COLUMNS, "modified_at", "version"]
+BRONZE_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        *RAW_SCHEMA.fields,
+        T.StructField("modified_at", T.TimestampType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("dt", T.DateType()),
+    ]
+)
+
+# A document is closed at about this size; a run of the usual size fits in one.
+DOCUMENT_BYTES = 32 << 20
+# The documents of one write are finished within this time of each other.
+WRITE_SPAN = timedelta(days=1)
 _RUN_KEYS = ["year", "month", "day", "time"]
 _RUN_PATH = r"(\d{4}/\d{2}/\d{2}/\d{2}-\d{2})(?:\.json$|/)"
 
@@ -44,10 +56,23 @@ def lake_options(reader):
 
 
 def with_origin(df):
+    """Run, modification time and version of every row's file.
+
+    A version tells a write of a run from an earlier one: the number in the name of a run
+    of several documents, else the modification time; 0 for the parts of a bulk write.
+    """
+    path, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    named = F.regexp_extract(path, r"/v(\d+)-\d+\.json$", 1)
+    version = (
+        F.when(named != "", named.cast("bigint"))
+        .when(path.endswith(".json"), F.unix_millis(modified))
+        .otherwise(F.lit(0).cast("bigint"))
+    )
     return df.select(
-        run_id_of(F.col("_metadata.file_path")).alias("run_id"),
+        run_id_of(path).alias("run_id"),
         *RAW_COLUMNS,
-        F.col("_metadata.file_modification_time").alias("modified_at"),
+        modified.alias("modified_at"),
+        version.alias("version"),
     )
 
 
@@ -65,13 +90,40 @@ def recent_cutoff(days=RECENT_DAYS, now=None):
     return (now or datetime.now(timezone.utc)) - timedelta(days=days)
 
 
+def lake_runs(spark, root):
+    """``run_id, modified_at`` of every run, from a listing: no file is opened.
+
+    A run counts by its file, even one that holds an empty array.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", LAKE_FILES)
+    )
+    try:
+        listed = files.load(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_snapshots(spark).select("run_id", "modified_at")
+    return (
+        listed.select(run_id_of(F.col("path")).alias("run_id"), "modificationTime")
+        .groupBy("run_id")
+        .agg(F.max("modificationTime").alias("modified_at"))
+    )
+
+
 def scan_recent_snapshots(spark, root, days=RECENT_DAYS, now=None):
-    """Snapshots whose file was modified at the cutoff or later.
+    """Snapshots of the runs whose last file was modified at the cutoff or later.
 
-    The predicate is on file metadata, so older files are pruned before any is opened.
+    A run is in or out as a whole. The predicate on file metadata prunes older files before
+    any is opened; the listing then decides exactly.
     """
+    cutoff = recent_cutoff(days, now)
     snapshots = scan_snapshots(spark, root)
-    return snapshots.where(F.col("modified_at") >= F.lit(recent_cutoff(days, now)))
+    recent = lake_runs(spark, root).where(F.col("modified_at") >= F.lit(cutoff))
+    near = snapshots.where(F.col("modified_at") >= F.lit(cutoff - WRITE_SPAN))
+    return near.join(recent.select("run_id"), "run_id", "left_semi")
 
 
 def empty_snapshots(spark):
@@ -79,6 +131,7 @@ def empty_snapshots(spark):
     return empty.select(
         F.lit("").alias("run_id"), *RAW_COLUMNS,
         F.lit(None).cast("timestamp").alias("modified_at"),
+        F.lit(None).cast("bigint").alias("version"),
     )
 
 
@@ -100,44 +153,101 @@ def load_snapshots(spark, lake_root=None, local_root="data/raw", days=RECENT_DAY
     return first_with_rows(*readers)
 
 
-def _array_documents(rows, keys):
-    """``(keys, part, value)``: array documents of a bounded number of rows.
+def _array_documents(rows, keys, size):
+    """``(keys, value)``: array documents of about ``size`` bytes, without a shuffle.
 
-    The part is a block of consecutive row numbers of one input partition. A total
-    order inside the partition makes the numbers the same when a task runs again.
+    Every task joins the lines it has, those with equal keys next to each other.
     """
     body = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
-    lines = rows.select(*keys, body.alias("line")).sortWithinPartitions(*keys, "line")
-    blocks = lines.withColumn(
-        "part", F.shiftright(F.monotonically_increasing_id(), _DOCUMENT_BITS)
-    )
-    joined = F.array_join(F.sort_array(F.collect_list("line")), ",\n")
-    return blocks.groupBy(*keys, "part").agg(
-        F.concat(F.lit("[\n"), joined, F.lit("\n]")).alias("value")
+    lines = rows.select(*keys, body.alias("value"))
+    if keys:
+        lines = lines.sortWithinPartitions(*keys)
+    schema = lines.schema
+
+    def join_lines(batches):
+        import pyarrow as pa
+
+        key, held, total = None, [], 0
+
+        def document():
+            columns = [*[[k] for k in key], ["[\n" + ",\n".join(held) + "\n]"]]
+            arrays = [pa.array(c, pa.string()) for c in columns]
+            return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+        for batch in batches:
+            for *at, line in zip(*[c.to_pylist() for c in batch.columns]):
+                if held and (at != key or total + len(line) > size):
+                    yield document()
+                    held, total = [], 0
+                key = at
+                held.append(line)
+                total += len(line)
+        if held:
+            yield document()
+
+    return lines.mapInArrow(join_lines, schema)
+
+
+def _write_text(documents, path, keys):
+    # one document per file
+    writer = documents.write.option("maxRecordsPerFile", 1)
+    (writer.partitionBy(*keys) if keys else writer).text(path)
+
+
+def _publish(spark, written, path):
+    """Move finished documents to a run's place, then remove what an earlier write left."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    files = Path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(
+        s.getPath().toString()
+        for s in files.listStatus(Path(written))
+        if s.getPath().getName().startswith("part-")
     )
+    one, many = Path(f"{path}.json"), Path(path)
+    old = [s.getPath() for s in files.listStatus(many)] if files.exists(many) else []
+    if len(parts) == 1:
+        files.mkdirs(one.getParent())
+        files.delete(one, False)
+        files.rename(Path(parts[0]), one)
+    else:
+        version = int(datetime.now(timezone.utc).timestamp() * 1000)
+        files.mkdirs(many)
+        for number, part in enumerate(parts):
+            files.rename(Path(part), Path(f"{path}/v{version}-{number:05d}.json"))
+        files.delete(one, False)
+    for leftover in old:
+        files.delete(leftover, True)
+    if len(parts) == 1:
+        files.delete(many, True)
+    files.delete(Path(written), True)
+    return one.toString() if len(parts) == 1 else path
+
+
+def write_snapshot(posts, root, run_id, size=DOCUMENT_BYTES):
+    """One run into ``root/YYYY/MM/DD/HH-MM.json``; running it again replaces the run.
+
+    A run of several documents becomes a folder of that name. Documents are written in full
+    below ``_writing`` first, so a write that fails leaves the run as it was.
+    """
+    spark, root = posts.sparkSession, root.rstrip("/")
+    written = f"{root}/_writing/{uuid.uuid4().hex}"
+    # small pieces of a run come together, large ones stay apart
+    _write_text(_array_documents(posts.hint("rebalance"), [], size), written, [])
+    return _publish(spark, written, f"{root}/{run_id}")
 
 
-def write_snapshot(posts, root, run_id):
-    """One run into ``root/YYYY/MM/DD/HH-MM``; running it again replaces the run."""
-    path = f"{root.rstrip('/')}/{run_id}"
-    writer = _array_documents(posts, []).write.mode("overwrite").partitionBy("part")
-    # Whatever the session says, parts of an earlier write must not stay.
-    writer.option("partitionOverwriteMode", "static").text(path)
-    return path
-
-
-def write_snapshots(posts, root):
+def write_snapshots(posts, root, size=DOCUMENT_BYTES):
     """Rows of many runs, told apart by ``run_id``, in one job into a new lake.
 
     The rebalance brings the rows of a run together, so that it gets few documents, and
-    splits a run that holds much of the data.
+    splits a run that holds much of the data. For large volumes Parquet is the form to keep
+    (``write_bronze``); arrays are for exchange.
     """
     pieces = F.split("run_id", "/")
     keyed = posts.select(
         *[pieces[i].alias(key) for i, key in enumerate(_RUN_KEYS)], *RAW_COLUMNS
     ).hint("rebalance", *_RUN_KEYS)
-    documents = _array_documents(keyed, _RUN_KEYS)
-    documents.write.partitionBy(*_RUN_KEYS, "part").text(root)
+    _write_text(_array_documents(keyed, _RUN_KEYS, size), root, _RUN_KEYS)
     return root
 
 
@@ -159,14 +269,38 @@ def with_day(snapshots):
     return snapshots.withColumn("dt", day)
 
 
+def _read_bronze(spark, path):
+    """All rows of the Parquet form; none where nothing was written yet."""
+    try:
+        return spark.read.schema(BRONZE_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+
+
+def _newest(rows):
+    """Newest version and last modification of every run; only that version counts."""
+    return rows.groupBy("run_id").agg(
+        F.max("version").alias("version"), F.max("modified_at").alias("last")
+    )
+
+
 def scan_bronze(spark, path):
-    return spark.read.parquet(path).select(*BRONZE_COLUMNS, "dt")
+    rows = _read_bronze(spark, path)
+    runs = _newest(rows)
+    return rows.join(runs.select("run_id", "version"), ["run_id", "version"], "left_semi").select(
+        *BRONZE_COLUMNS, "dt"
+    )
 
 
 def scan_recent_bronze(spark, path, days=RECENT_DAYS, now=None):
-    """As ``scan_recent_snapshots``; the day prunes directories, the instant is exact."""
+    """As ``scan_recent_snapshots``: the day prunes directories, runs count as a whole."""
     cutoff = recent_cutoff(days, now)
-    return scan_bronze(spark, path).where(
-        (F.col("dt") >= F.lit(cutoff.astimezone(timezone.utc).date()))
-        & (F.col("modified_at") >= F.lit(cutoff))
+    early = cutoff - WRITE_SPAN
+    near = _read_bronze(spark, path).where(
+        (F.col("dt") >= F.lit(early.astimezone(timezone.utc).date()))
+        & (F.col("modified_at") >= F.lit(early))
     )
+    recent = _newest(near).where(F.col("last") >= F.lit(cutoff)).select("run_id", "version")
+    return near.join(recent, ["run_id", "version"], "left_semi").select(*BRONZE_COLUMNS, "dt")

@@ -83,6 +83,14 @@ def open_tables(spark, root):
     )
 
 
+def mentions_path(spark, root):
+    """Folder of the last load's mentions."""
+    last = _last_load(spark, root)
+    if last is None:
+        raise ValueError(f"no tables were loaded below {root}")
+    return f"{root}/{last['copy']}/{MENTIONS}"
+
+
 def refresh(raw, root, **options):
     """Rebuild from rows if there are any, else open what is there."""
     if raw.isEmpty():

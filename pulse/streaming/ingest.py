@@ -4,8 +4,9 @@ from pulse.sources.snapshots import lake_options, with_day, with_origin
 
 # Files per micro-batch, so a backlog does not become one huge batch.
 FILES_PER_BATCH = 10000
-# A file is only forgotten once it is this much older than the newest one.
-MEMORY = "3650d"
+# A file that is this much older than the newest one is skipped: longer than the age of the
+# epoch, so that no file is, not even one without a time.
+MEMORY = "36500d"
 
 
 def ingest_stream(spark, root, files_per_batch=FILES_PER_BATCH):
@@ -15,14 +16,15 @@ def ingest_stream(spark, root, files_per_batch=FILES_PER_BATCH):
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", MEMORY)
     )
-    return with_day(with_origin(reader.json(root)))
+    # the rebalance keeps a batch from leaving one small file per task and day
+    return with_day(with_origin(reader.json(root))).hint("rebalance", "dt")
 
 
 def ingest_new(spark, root, bronze, checkpoint, files_per_batch=FILES_PER_BATCH):
     """Append every file not ingested before, then stop. Running it again adds nothing.
 
-    Ingest a run once it is final: files that replace those of an ingested run are new
-    files, so the run would be in ``bronze`` twice.
+    A run that was written again is appended with its new version; ``scan_bronze`` reads
+    the newest version of each run. Every start lists the whole lake.
     """
     query = (
         ingest_stream(spark, root, files_per_batch)

@@ -28,6 +28,6 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def events(spark):
-    from pulse.sources.events_feed import read_events
+    from checks.events_feed import read_events
 
     return read_events(spark, SMALL)

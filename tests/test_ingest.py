@@ -2,14 +2,16 @@ import json
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from checks import events_feed as feed
 from pulse.operators import ingest
-from pulse.schemas import RAW_COLUMNS
-from pulse.sources import events_feed as feed
+from pulse.schemas import RAW_COLUMNS, RAW_SCHEMA
 from tests.helpers import initial_plan, raw_row
 
 RUN = "2024/01/01/09-00"
 LANDED = "run_id string, source string, rank int, item string"
+RAW_WITH_RUN = StructType([*RAW_SCHEMA.fields, StructField("run_id", StringType())])
 
 
 def landed(spark, rows):
@@ -132,3 +134,10 @@ def test_both_lists_of_the_feed_are_whole(spark, events):
     assert top.count() == sum(types[t] for t in ("view", "click", "signup", "error"))
     assert best.count() == sum(types[t] for t in ("purchase", "signup", "error"))
     assert feed.raw_posts(events).select(F.countDistinct("post_id")).first()[0] == events.count()
+
+
+def test_latest_of_equal_rows_does_not_depend_on_their_order(spark):
+    rows = [{**raw_row(fetched_at=None), "run_id": r} for r in ("2024/01/02/09-00", "2024/01/01/09-00")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame([tuple(r.values()) for r in order], RAW_WITH_RUN).coalesce(1)
+        assert [r["run_id"] for r in ingest.dedup_latest(df).collect()] == ["2024/01/01/09-00"]

@@ -1,10 +1,14 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+import pytest
+
 from pulse import jobs
 from pulse.plans.dashboard import PAGES, categories_page
+from pulse.schemas import MENTIONS_SCHEMA
 from pulse.sources import snapshots as lake
 from pulse.sources import tables
+from tests.helpers import raw_frame, raw_row
 
 
 def landed(path, stories):
@@ -52,6 +56,44 @@ def test_from_landed_items_to_pages(spark, tmp_path, capsys):
     assert "spark" in capsys.readouterr().out
 
 
+def test_damaged_landed_line_fails(spark, tmp_path):
+    items = landed(tmp_path / "landed", [("top", 0, story(1, "sql"))])
+    with open(f"{items}/items.json", "a") as f:
+        f.write('{"source": "top", "rank": 1, "item": \n')
+    with pytest.raises(Exception):
+        jobs.ingest_run(spark, items, str(tmp_path / "raw"), "2024/01/31/09-00")
+
+
+def test_first_refresh_finds_nothing(spark, tmp_path):
+    loaded = jobs.refresh_tables(spark, str(tmp_path / "t"), bronze=str(tmp_path / "none"))
+    assert loaded.posts.count() == 0 and loaded.mentions.columns == MENTIONS_SCHEMA.names
+
+
+def test_show_options_and_trend(spark, tmp_path, capsys):
+    root = str(tmp_path / "tables")
+    names = [f"tool{i:02d}" for i in range(70)]
+    rows = [
+        raw_row(post_id=n, source="best" if i % 2 else "top", tool_mentions=json.dumps({n: "Databases"}))
+        for i, n in enumerate(names)
+    ]
+    tables.load_tables(raw_frame(spark, rows), root)
+    jobs.main(["show", "--tables", root, "--page", "tools"])
+    assert all(n in capsys.readouterr().out for n in names[:1]) and len(names) > 50
+    jobs.main(["show", "--tables", root, "--page", "categories", "--category", "Databases", "--rows", "2"])
+    assert "drilldown" in capsys.readouterr().out
+    out = str(tmp_path / "out")
+    jobs.main(["show", "--tables", root, "--page", "stories", "--source", "best", "--term", "tool01", "--out", out])
+    assert {r["source"] for r in spark.read.json(f"{out}/table").collect()} == {"best"}
+    assert spark.read.json(f"{out}/mentioning").count() == 1
+    jobs.main(["show", "--tables", root, "--page", "tools", "--out", out])
+    assert spark.read.json(f"{out}/rankings").count() == 70
+    trend, stream = str(tmp_path / "trend"), str(tmp_path / "stream")
+    jobs.main(["trend", "--tables", root, "--out", trend])
+    assert spark.read.parquet(trend).count() == 70 * 14
+    jobs.main(["trend", "--tables", root, "--out", stream, "--state", str(tmp_path / "state")])
+    assert spark.read.parquet(stream).columns == spark.read.parquet(trend).columns
+
+
 def test_every_page_on_nothing_and_on_rows(spark, tmp_path):
     empty = tables.empty_tables(spark)
     for page in PAGES.values():

@@ -167,7 +167,7 @@ def test_parse(spark, text, expected):
 
 
 def test_no_python_in_the_plan(spark, events):
-    from pulse.sources.events_feed import raw_posts
+    from checks.events_feed import raw_posts
 
     plan = initial_plan(raw_posts(events))
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulse.operators.transform import build_mentions, build_posts
 from pulse.plans import activity, categories, overview, status, stories, tools, trend
 from pulse.schemas import MENTIONS_SCHEMA, POSTS_SCHEMA
-from pulse.sources import events_feed as feed
+from checks import events_feed as feed
 from pulse.sources import tables
 from tests.helpers import initial_plan, plan_text, raw_frame, raw_row
 
@@ -141,6 +141,15 @@ def test_pivot_keeps_a_list_nobody_is_in(spark):
     assert got == [{"tool": "dbt", "best": 0, "top": 1}, {"tool": "sql", "best": 0, "top": 2}]
 
 
+def test_pivot_keeps_lists_that_are_not_the_usual_ones(spark):
+    rows = [("sql", "top"), ("sql", "new"), ("sql", "new"), ("dbt", "best")]
+    m = spark.createDataFrame(rows, "tool string, source string")
+    got = [r.asDict() for r in tools.tool_source_pivot(m).collect()]
+    assert got == [
+        {"tool": "dbt", "best": 1, "new": 0, "top": 0}, {"tool": "sql", "best": 0, "new": 2, "top": 1},
+    ]
+
+
 def test_bars_grow(spark, stored):
     bars = [r["mentions"] for r in tools.top20_tools(stored.mentions).collect()]
     assert len(bars) == 20 and bars == sorted(bars)

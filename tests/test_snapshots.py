@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulse.schemas import RAW_COLUMNS
 from pulse.session import shared_folder
-from pulse.sources import events_feed as feed
+from checks import events_feed as feed
 from pulse.sources import snapshots as lake
 from tests.helpers import initial_plan, raw_frame, raw_row
 
@@ -116,7 +116,9 @@ def test_snapshot_round_trip(spark, tmp_path):
     rows = [raw_row(post_id=str(i), title='q"uo\te\n,]', url=None, score=None) for i in range(50)]
     raw = raw_frame(spark, rows)
     path = lake.write_snapshot(raw, str(tmp_path), "2024/03/01/09-00")
-    assert path.endswith("/2024/03/01/09-00")
+    assert path.endswith("/2024/03/01/09-00.json")
+    with open(path) as f:
+        assert len(json.load(f)) == 50
     back = lake.scan_snapshots(spark, str(tmp_path))
     assert all_rows(back) == all_rows(raw)
     assert {r["run_id"] for r in back.collect()} == {"2024/03/01/09-00"}
@@ -140,7 +142,7 @@ def array_sizes(root):
     sizes = []
     for folder, _, files in os.walk(root):
         for name in files:
-            if name.endswith(".txt"):
+            if name.endswith((".txt", ".json")):
                 with open(os.path.join(folder, name)) as f:
                     sizes.append((folder, len(json.load(f))))
     return sizes
@@ -148,7 +150,7 @@ def array_sizes(root):
 
 def test_large_run_is_split_into_bounded_arrays(spark, tmp_path):
     """5000 rows, a third of them identical, keep their number and stay in valid arrays."""
-    row = raw_row()
+    row, size = raw_row(), 50_000
     rows = spark.range(0, 5000, 1, 3).select(
         *[
             F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(c)
@@ -157,9 +159,16 @@ def test_large_run_is_split_into_bounded_arrays(spark, tmp_path):
             for c in RAW_COLUMNS
         ]
     )
-    lake.write_snapshot(rows, str(tmp_path), "2024/03/01/09-00")
+    lake.write_snapshot(rows, str(tmp_path), "2024/03/01/09-00", size)
+    folder = tmp_path / "2024/03/01/09-00"
+    names = sorted(os.listdir(folder))
+    assert all(n.endswith(".json") for n in names if not n.startswith("."))
     sizes = [n for _, n in array_sizes(tmp_path)]
-    assert sum(sizes) == 5000 and max(sizes) <= 1024 and len(sizes) >= 5
+    total = sum(os.path.getsize(folder / n) for n in names if n.endswith(".json"))
+    assert sum(sizes) == 5000 and total / size <= len(sizes) <= total / size + 5
+    lake.write_snapshot(rows.limit(3), str(tmp_path), "2024/03/01/09-00")
+    assert [n for _, n in array_sizes(tmp_path)] == [3]
+    lake.write_snapshot(rows, str(tmp_path), "2024/03/01/09-00", size)
     counts = lake.scan_snapshots(spark, str(tmp_path)).groupBy("post_id").count()
     assert counts.where("post_id = 'hot'").first()["count"] == 1667
 
@@ -181,9 +190,9 @@ def test_one_run_with_a_third_of_all_rows(spark, tmp_path):
         .alias("run_id"),
         *[F.col("id").cast("string").alias(c) if c == "post_id" else F.lit(row[c]).alias(c) for c in RAW_COLUMNS],
     )
-    root = lake.write_snapshots(rows, str(tmp_path / "lake"))
+    root = lake.write_snapshots(rows, str(tmp_path / "lake"), 200_000)
     sizes = array_sizes(root)
-    assert sum(n for _, n in sizes) == 9000 and max(n for _, n in sizes) <= 1024
+    assert sum(n for _, n in sizes) == 9000 and max(n for _, n in sizes) <= 1500
     back = lake.scan_snapshots(spark, root)
     assert back.where("run_id = '2024/03/01/09-00'").count() == 3000
     assert all_rows(back) == all_rows(rows)
@@ -205,6 +214,35 @@ def test_bronze_prunes_by_day_and_is_exact(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan and "GreaterThanOrEqual(modified_at" in plan
 
 
+def test_a_run_is_recent_as_a_whole(spark, tmp_path):
+    root, bronze = str(tmp_path / "lake"), str(tmp_path / "bronze")
+    cutoff = NOW - timedelta(days=7)
+    for n, shift in enumerate((-5, 5)):
+        put(f"{root}/2024/03/03/09-00", f"v7-0000{n}", [raw_row(post_id=f"p{n}")], cutoff + timedelta(seconds=shift))
+    put(f"{root}/2024/03/02/09-00", "v7-00000", [raw_row(post_id="old")], cutoff - timedelta(seconds=1))
+    assert ids(lake.scan_recent_snapshots(spark, root, now=NOW)) == ["p0", "p1"]
+    lake.write_bronze(lake.scan_snapshots(spark, root), bronze)
+    assert ids(lake.scan_recent_bronze(spark, bronze, now=NOW)) == ["p0", "p1"]
+
+
+def test_listing_counts_runs_without_opening_files(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, "2024/03/01/09-00", [raw_row()])
+    put(root, "2024/03/01/18-00", [])
+    with open(put(root, "2024/03/02/09-00", []), "w") as f:
+        f.write("[{")
+    assert lake.lake_runs(spark, root).count() == 3
+    assert lake.lake_runs(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_no_bronze_yet(spark, tmp_path):
+    nowhere, empty = str(tmp_path / "nowhere"), tmp_path / "empty"
+    empty.mkdir()
+    for path in (nowhere, str(empty)):
+        assert lake.scan_bronze(spark, path).count() == 0
+        assert lake.scan_recent_bronze(spark, path, now=NOW).count() == 0
+
+
 def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")

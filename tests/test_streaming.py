@@ -1,13 +1,15 @@
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from pulse.operators.transform import build_mentions
 from pulse.plans import trend
-from pulse.sources import events_feed as feed
+from checks import events_feed as feed
 from pulse.sources import snapshots as lake
 from pulse.streaming import ingest as stream_ingest
 from pulse.streaming import trend as stream_trend
 from tests.conftest import SMALL
-from tests.helpers import raw_row
+from tests.helpers import raw_frame, raw_row
 from tests.test_snapshots import put
 
 
@@ -33,6 +35,24 @@ def test_every_file_once(spark, tmp_path):
     }
 
 
+def test_a_file_without_a_time_is_not_skipped(spark, tmp_path):
+    root, bronze, state = (str(tmp_path / d) for d in ("lake", "bronze", "state"))
+    put(root, "2024/03/01/09-00", [raw_row(post_id="a")])
+    stream_ingest.ingest_new(spark, root, bronze, state)
+    put(root, "2024/03/01/18-00", [raw_row(post_id="b")], datetime.fromtimestamp(0, timezone.utc))
+    stream_ingest.ingest_new(spark, root, bronze, state)
+    assert ids(lake.scan_bronze(spark, bronze)) == ["a", "b"]
+
+
+def test_a_run_written_again_counts_once(spark, tmp_path):
+    root, bronze, state = (str(tmp_path / d) for d in ("lake", "bronze", "state"))
+    for names, size in ((["a", "b", "c"], 100), (["d"], 1 << 20), (["e", "f"], 100)):
+        rows = raw_frame(spark, [raw_row(post_id=n) for n in names])
+        lake.write_snapshot(rows, root, "2024/03/01/09-00", size)
+        stream_ingest.ingest_new(spark, root, bronze, state)
+        assert ids(lake.scan_bronze(spark, bronze)) == names
+
+
 def test_stream_equals_batch_on_closed_windows(spark, tmp_path):
     session = stream_trend.state_session(spark, 2)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"

@@ -118,7 +118,7 @@ def test_schemas(spark):
 
 
 def test_building_is_one_narrow_stage(spark, events):
-    from pulse.sources.events_feed import raw_posts
+    from checks.events_feed import raw_posts
 
     raw = raw_posts(events)
     for df in (build_posts(raw), build_mentions(raw)):
@@ -146,7 +146,7 @@ def test_safe_int(spark, text, expected):
 
 
 def test_same_without_ansi_mode(spark, events):
-    from pulse.sources.events_feed import raw_posts
+    from checks.events_feed import raw_posts
 
     odd = raw_frame(spark, [raw_row(title=None, tool_mentions=t) for t in (None, "[]", '{"a":"x","a":"y"}')])
     def rows():
@@ -161,15 +161,3 @@ def test_same_without_ansi_mode(spark, events):
         assert rows() == strict
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
-
-
-def test_spread_only_where_pieces_are_few(spark, events):
-    from pulse.sources.spread import spread
-
-    slots = spark.sparkContext.defaultParallelism
-    dealt = spread(events)
-    assert dealt.rdd.getNumPartitions() == slots and dealt.count() == events.count()
-    enough = spark.range(0, 100, 1, slots)
-    assert "Exchange" not in initial_plan(spread(enough))
-    pruned = initial_plan(dealt.where("event_id > 5").select("event_id"))
-    assert "GreaterThan(event_id,5)" in pruned and "props" not in pruned
