@@ -84,8 +84,11 @@ def run_instant(run_id):
 
 
 def fetched_timestamp(fetched_at):
-    """Instant of an ISO-8601 text, null where the text is not one."""
-    return fetched_at.try_cast("timestamp")
+    """Instant of an ISO-8601 text, null where the text is not one; UTC where it has no zone."""
+    zoned = fetched_at.rlike(r":\d{2}(\.\d+)? ?(Z|[+-]\d{2}(:?\d{2})?)$")
+    day = fetched_at.rlike(r"^\d{4}-\d{2}-\d{2}$")
+    utc = F.concat(fetched_at, F.when(day, "T00:00:00Z").otherwise("Z"))
+    return F.when(zoned, fetched_at).otherwise(utc).try_cast("timestamp")
 
 
 def safe_int(col):

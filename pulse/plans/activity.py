@@ -104,7 +104,7 @@ def score_quartiles(counts):
     inside = Window.partitionBy("source", "t_block", "name", "side").orderBy("score")
     reached = (
         counts.join(
-            targets,
+            F.broadcast(targets),  # at most six rows per list
             counts["source"].eqNullSafe(F.col("t_source")) & block.eqNullSafe(F.col("t_block")),
         )
         .withColumn("seen", F.col("before") + F.sum("n").over(inside))
@@ -131,7 +131,8 @@ def score_box(posts):
     """
     counts = positive_scores(posts).groupBy("source", "score").agg(row_count("n"))
     quartiles = score_quartiles(counts).withColumnRenamed("source", "q_source")
-    box = counts.join(quartiles, counts["source"].eqNullSafe(F.col("q_source")))
+    # one row per list
+    box = counts.join(F.broadcast(quartiles), counts["source"].eqNullSafe(F.col("q_source")))
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     score = F.col("score")
     return box.groupBy("source", *QUARTILES).agg(

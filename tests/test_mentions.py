@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -38,6 +39,10 @@ def test_dictionary_size():
     assert len(DEFAULT_TERMS.delimited) == 69
     assert len(DEFAULT_TERMS.substring) == 8
     assert "s3" not in DEFAULT_TERMS.names
+    # all names in order; the SQL statements take them from the same place
+    listed = "\n".join(f"{c}:{','.join(t)}" for c, t in CATEGORIES.items())
+    digest = hashlib.sha256(listed.encode()).hexdigest()
+    assert digest == "70cded00149d4127594801ce8cd6006e279bc87838e048d589871e9bc97ffbf9"
 
 
 @pytest.mark.parametrize(

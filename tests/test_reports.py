@@ -4,10 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import events_feed as feed
+from pulse.functions.scalars import fetched_timestamp
 from pulse.operators.transform import build_mentions, build_posts
 from pulse.plans import activity, categories, overview, status, stories, tools, trend
 from pulse.schemas import MENTIONS_SCHEMA, POSTS_SCHEMA
-from checks import events_feed as feed
 from pulse.sources import tables
 from tests.helpers import initial_plan, plan_text, raw_frame, raw_row
 
@@ -150,6 +151,18 @@ def test_pivot_keeps_lists_that_are_not_the_usual_ones(spark):
     ]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_fetch_times_do_not_depend_on_the_session_zone(spark, zone):
+    texts = ["2024-01-31T09:00:00+00:00", "2024-01-31T09:00:00", "2024-01-31T18:00:00+09:00", "2024-01-31", "None"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    stamp = F.unix_seconds(fetched_timestamp(F.col("t")))
+    got = [r[0] for r in df.orderBy("i").select(stamp).collect()]
+    spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [1706691600, 1706691600, 1706691600, 1706659200, None]
+
+
 def test_bars_grow(spark, stored):
     bars = [r["mentions"] for r in tools.top20_tools(stored.mentions).collect()]
     assert len(bars) == 20 and bars == sorted(bars)
