@@ -9,7 +9,7 @@ pre-tokens; the rest goes through the tokenizer's own model.
 
 import numpy as np
 
-MAX_ENTRIES = 250_000  # of each table; a full table is dropped and filled anew
+MAX_ENTRIES = 500_000  # of each table, some 80 MB; a full table is dropped and filled anew
 MAX_PIECE = 64  # longer pieces are encoded each time
 
 
@@ -95,44 +95,34 @@ class PieceEncoder:
         split = self.pre_tokenizer.pre_tokenize_str(lead + text)
         return b"".join([self._word(word) for word, _ in split])
 
-    def _new(self, pieces):
-        """Ids of pieces seen for the first time, or None if one of them is no safe cut."""
-        lead = " " if self.spaced else ""
-        new = {}
-        for piece in pieces:
-            if self.spaced and not _opens(piece):
-                return None
-            new[piece] = self._piece(piece, lead)
-        if len(self.pieces) + len(new) > MAX_ENTRIES:
-            self.pieces.clear()
-        for piece, ids in new.items():
-            if len(piece) <= MAX_PIECE:
-                self.pieces[piece] = ids
-        return new
-
     def text(self, text):
         """Packed ids of one text (bytes; None counts as empty)."""
         if not text:
             return b""
-        if not self.spaced:
-            first, parts = b"", text.split()
-        else:
-            parts = text.split(b" ")
-            first = self._piece(parts.pop(0), "")
-        known = self.pieces
-        try:
-            return first + b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        new = self._new(set(parts).difference(known))
-        if new is None:
-            first, *parts = cut(text)
-            first = self._piece(first, "")
-            new = self._new(set(parts).difference(known))
-        # the table may have been emptied meanwhile
-        get = known.get
-        found = [get(p) or new.get(p) or self._piece(p, " " if self.spaced else "") for p in parts]
-        return first + b"".join(found)
+        spaced, known = self.spaced, self.pieces
+        parts = text.split(b" ") if spaced else text.split()
+        found = list(map(known.get, parts))
+        if spaced:
+            found[0] = self._piece(parts[0], "")
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            if spaced and not all([_opens(parts[i]) for i in missing]):
+                parts = cut(text)
+                found = list(map(known.get, parts))
+                found[0] = self._piece(parts[0], "")
+                missing = [i for i, ids in enumerate(found) if ids is None]
+            if len(known) + len(missing) > MAX_ENTRIES:
+                known.clear()
+            lead = " " if spaced else ""
+            for i in missing:
+                piece = parts[i]
+                ids = known.get(piece)
+                if ids is None:
+                    ids = self._piece(piece, lead)
+                    if len(piece) <= MAX_PIECE:
+                        known[piece] = ids
+                found[i] = ids
+        return b"".join(found)
 
 
 _ENCODERS = {}
