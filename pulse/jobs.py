@@ -68,7 +68,7 @@ def show_frames(frames, out=None, rows=None):
             frame.show(max(1, rows or frame.count()), truncate=False)
 
 
-def write_trend(spark, tables_root, out, state=None):
+def write_trend(spark, tables_root, out, state=None, stores=stream_trend.STATE_PARTITIONS):
     """The moving 7-day trend over the stored mentions.
 
     With ``state`` it runs as a stream over the current copy of the table and adds the
@@ -79,7 +79,7 @@ def write_trend(spark, tables_root, out, state=None):
     if not state:
         trend.rolling_trend(trend.with_fetched_time(mentions)).write.mode("overwrite").parquet(out)
         return out
-    session = stream_trend.state_session(spark)
+    session = stream_trend.state_session(spark, stores)
     stream = session.readStream.schema(MENTIONS_SCHEMA).parquet(
         tables.mentions_path(spark, tables_root)
     )
@@ -121,6 +121,7 @@ def main(argv=None):
     moving.add_argument("--tables", required=True)
     moving.add_argument("--out", required=True)
     moving.add_argument("--state", help="run as a stream with its state here")
+    moving.add_argument("--stores", type=int, default=stream_trend.STATE_PARTITIONS)
 
     args = parser.parse_args(argv)
     spark = build_session(f"pulse-{args.command}")
@@ -134,7 +135,7 @@ def main(argv=None):
         )
         loaded_counts(loaded.posts, loaded.mentions).show()
     elif args.command == "trend":
-        print(write_trend(spark, args.tables, args.out, args.state))
+        print(write_trend(spark, args.tables, args.out, args.state, args.stores))
     else:
         opened = tables.open_tables(spark, args.tables)
         frames = {}

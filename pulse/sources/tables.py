@@ -2,7 +2,8 @@
 
 A root holds two copies of the tables and a log of loads. A refresh overwrites the copy
 that is not in use and then logs it, so readers see both old tables or both new ones,
-and a load that fails leaves the tables as they were.
+and a load that fails leaves the tables as they were. Refreshes of one root must not run
+at the same time: two would choose the same copy.
 """
 
 from dataclasses import dataclass

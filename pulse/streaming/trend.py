@@ -9,8 +9,8 @@ STATE_PARTITIONS = 8
 def state_session(spark, partitions=STATE_PARTITIONS):
     """A sibling session for stateful streams.
 
-    The number of state stores is fixed by the first start of a stream. The state here
-    is a few counts per tool and window whatever the input, so a few stores do.
+    The number of state stores is fixed by the first start of a stream and should follow
+    the cluster and the dictionary; the state is a few counts per tool and window.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
