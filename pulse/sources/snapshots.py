@@ -205,29 +205,29 @@ def _publish(spark, written, path):
     )
     one, many = Path(f"{path}.json"), Path(path)
     old = [s.getPath() for s in files.listStatus(many)] if files.exists(many) else []
-    if len(parts) == 1:
+    if files.exists(one):
+        old.append(one)
+    if len(parts) == 1 and not old:
         files.mkdirs(one.getParent())
-        files.delete(one, False)
         files.rename(Path(parts[0]), one)
     else:
+        # a new name for every write: a stream takes a name it has seen for an old file
         version = int(datetime.now(timezone.utc).timestamp() * 1000)
         files.mkdirs(many)
         for number, part in enumerate(parts):
             files.rename(Path(part), Path(f"{path}/v{version}-{number:05d}.json"))
-        files.delete(one, False)
     for leftover in old:
         files.delete(leftover, True)
-    if len(parts) == 1:
-        files.delete(many, True)
     files.delete(Path(written), True)
-    return one.toString() if len(parts) == 1 else path
+    return one.toString() if files.exists(one) else path
 
 
 def write_snapshot(posts, root, run_id, size=DOCUMENT_BYTES):
     """One run into ``root/YYYY/MM/DD/HH-MM.json``; running it again replaces the run.
 
-    A run of several documents becomes a folder of that name. Documents are written in full
-    below ``_writing`` first, so a write that fails leaves the run as it was.
+    A run of several documents, or one that is written again, becomes a folder of that name
+    with the write's version in the file names. Documents are written in full below
+    ``_writing`` first, so a write that fails leaves the run as it was.
     """
     spark, root = posts.sparkSession, root.rstrip("/")
     written = f"{root}/_writing/{uuid.uuid4().hex}"
