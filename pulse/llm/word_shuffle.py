@@ -10,11 +10,15 @@ table of the tokens' bytes.
 One row per position would be 165 million rows of some 30 bytes for half a GB of input,
 several times the disk the check allows. So positions are packed: a chunk sends one row per
 word group, with all its words of that group, and texts travel as word numbers in three
-byte planes, compressed. The shuffles move about as many bytes as the compressed input.
+byte planes, compressed. The two shuffles move about as many bytes as the compressed input;
+texts are cut twice, once for each, which costs less than writing the chunks down.
 
 Every step streams. A task holds one chunk, or one row of words and a bounded table of
 words it has encoded; words beyond that bound may be encoded again, with equal ids.
 
+The input is read twice and has to come in one order, as a table does; a chunk's mark tells
+when it did not, and the job fails. Write other frames down first.
+
 Defined cases: null text counts as empty; repeated rows are texts of their own; an empty
 table gives no rows; other columns are not looked at.
 """
@@ -27,9 +31,8 @@ from pyspark.sql import functions as F
 
 from pulse.llm.arrow import map_arrow, record_batch
 from pulse.llm.pieces import cut
-from pulse.session import shared_folder
 
-CHUNK_BYTES = 24 << 20  # of text
+CHUNK_BYTES = 16 << 20  # of text
 MAX_KNOWN = 300_000
 
 
@@ -84,19 +87,18 @@ def _numbers(blob, count):
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-_CHUNKS = (
-    "kind int, chunk bigint, grp int, doc_id bigint, place int, count int, body binary"
-)
+_CHUNKS = "chunk bigint, grp int, doc_id bigint, place int, count int, body binary, mark int"
 
 
-def _chunk(groups):
-    """Arrow function: doc_id, text -> rows of words (kind 0) and of texts (kind 1)."""
+def _chunk(groups, texts_only):
+    """Arrow function: doc_id, text -> the chunks' rows of words, or of texts.
 
-    def run(batches, schema):
-        from pyspark import TaskContext
+    Both come from the same scan, whose partitions and order Spark keeps, so chunks and word
+    numbers are the same in both.
+    """
 
-        chunk = TaskContext.get().partitionId() << 32
-        held, size = [], 0
+    def run(batches, schema):
+        chunk, held, size = None, [], 0
 
         def close():
             nonlocal chunk
@@ -116,24 +118,27 @@ def _chunk(groups):
             order = np.argsort(-counts, kind="stable")
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
+            mark = zlib.crc32(b"\0".join([words[i] for i in order])) >> 1
             out = [[] for _ in schema]
-            for g in range(groups):
+            for g in range(0 if texts_only else groups):
                 chosen = order[group[order] == g]
                 if len(chosen):
                     body = _blob([words[i] for i in chosen])
                     numbers = _planes(rank[chosen])
                     packed = len(numbers).to_bytes(4, "little") + numbers + body
-                    for column, value in zip(out, (0, chunk, g, None, None, len(chosen), packed)):
+                    for column, value in zip(out, (chunk, g, None, None, len(chosen), packed, mark)):
                         column.append(value)
-            for place, (doc, numbers) in enumerate(texts):
+            for place, (doc, numbers) in enumerate(texts if texts_only else ()):
                 body = _planes(rank[numbers]) if numbers else b""
-                for column, value in zip(out, (1, chunk, None, doc, place, len(numbers), body)):
+                for column, value in zip(out, (chunk, None, doc, place, len(numbers), body, mark)):
                     column.append(value)
             held.clear()
             chunk += 1
             return record_batch(schema, out)
 
         for batch in batches:
+            if chunk is None and batch.num_rows:
+                chunk = batch.column(2)[0].as_py() << 32
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.append((doc, text or b""))
                 size += len(held[-1][1])
@@ -158,7 +163,7 @@ def _encode_words(path, pattern):
         known = {}
         for batch in batches:
             out = [[], [], [], []]
-            for chunk, count, packed in zip(*[c.to_pylist() for c in batch.columns]):
+            for chunk, count, packed, mark in zip(*[c.to_pylist() for c in batch.columns]):
                 split = 4 + int.from_bytes(packed[:4], "little")
                 words = _strings(packed[split:], count)
                 new = [w for w in words if w not in known]
@@ -175,21 +180,23 @@ def _encode_words(path, pattern):
                         found[i] = np.array(encoding.encode_ordinary(w), "<u2").tobytes()
                 known.update(ids)
                 body = packed[:split] + _blob(found)
-                for column, value in zip(out, (chunk, count, body, None)):
+                for column, value in zip(out, (chunk, count, body, mark)):
                     column.append(value)
-            yield record_batch(schema, out[:3])
+            yield record_batch(schema, out)
 
     return run
 
 
 def _assemble(batches, schema):
     """Arrow function over rows sorted by chunk, words first: texts put together."""
-    current, table = None, {}
+    current, table, seen = None, {}, None
     for batch in batches:
         out = [[], []]
-        for chunk, kind, doc, count, body in zip(*[c.to_pylist() for c in batch.columns]):
+        for chunk, kind, doc, count, body, mark in zip(*[c.to_pylist() for c in batch.columns]):
             if chunk != current:
-                current, table = chunk, {}
+                current, table, seen = chunk, {}, mark
+            if mark != seen:
+                raise ValueError("the input came in another order when it was read again")
             if kind == 0:
                 split = 4 + int.from_bytes(body[:4], "little")
                 numbers = _numbers(body[4:split], count)
@@ -209,23 +216,28 @@ def encode(docs, path, pattern):
     spark = docs.sparkSession
     groups = min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("binary").alias("text"),
+        # the scan's own partition, also where the task reads a union
+        F.spark_partition_id().alias("part"),
+    )
+    # Cut twice rather than written down: the chunks are as large as the input.
+    words = map_arrow(rows, _chunk(groups, False), _CHUNKS).repartition(groups, "grp")
+    texts = map_arrow(rows, _chunk(groups, True), _CHUNKS)
+    ids = map_arrow(
+        words.select("chunk", "count", "body", "mark"),
+        _encode_words(path, pattern),
+        "chunk bigint, count int, body binary, mark int",
     )
-    folder = shared_folder(spark, "chunks")
-    map_arrow(rows, _chunk(groups), _CHUNKS).write.partitionBy("kind").parquet(folder)
-    schema = "chunk bigint, grp int, doc_id bigint, place int, count int, body binary, kind int"
-    chunks = spark.read.schema(schema).parquet(folder)
-    words = chunks.where("kind = 0").repartition(groups, "grp").select("chunk", "count", "body")
-    ids = map_arrow(words, _encode_words(path, pattern), "chunk bigint, count int, body binary")
     both = ids.select(
         "chunk", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("doc_id"), "count", "body",
-        F.lit(-1).alias("place"),
+        F.lit(-1).alias("place"), "mark",
     ).unionByName(
-        chunks.where("kind = 1").select("chunk", "kind", "doc_id", "count", "body", "place")
+        texts.select("chunk", F.lit(1).alias("kind"), "doc_id", "count", "body", "place", "mark")
     )
     meeting = both.repartition("chunk").sortWithinPartitions("chunk", "kind", "place")
     return map_arrow(
-        meeting.select("chunk", "kind", "doc_id", "count", "body"),
+        meeting.select("chunk", "kind", "doc_id", "count", "body", "mark"),
         _assemble,
         "doc_id bigint, ids binary",
     )
