@@ -5,8 +5,14 @@ is followed by something that is no white space, whatever stands before it. Text
 be cut before every such space and the pieces encoded on their own. Most pieces of a text
 have been seen before, so their ids come from bounded tables, one of pieces and one of
 pre-tokens; the rest goes through the tokenizer's own model.
+
+The file's added tokens are matched first, as the library does: a text is split at them,
+longest first at each place, and what lies between is encoded as texts of their own.
 """
 
+import os
+import re
+
 import numpy as np
 
 MAX_ENTRIES = 500_000  # of each table, some 80 MB; a full table is dropped and filled anew
@@ -56,7 +62,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype, self.spaced = np.dtype(dtype), spaced
         self.letters = _byte_letters()
@@ -65,6 +70,18 @@ class PieceEncoder:
         self.normalizer = self.tokenizer.normalizer
         self.pre_tokenizer = self.tokenizer.pre_tokenizer
         self.pieces, self.words = {}, {}
+        self._added_tokens()
+
+    def _added_tokens(self):
+        """Pattern and ids of the added tokens, and the beginning they share."""
+        self.added = {}
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.lstrip or token.rstrip or token.single_word or token.normalized:
+                raise ValueError(f"added token {token.content!r} is not matched as it stands")
+            self.added[token.content.encode()] = self.packed[i]
+        longest = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")")
+        self.shared = os.path.commonprefix(longest)
 
     def _word(self, word):
         ids = self.words.get(word)
@@ -97,6 +114,18 @@ class PieceEncoder:
 
     def text(self, text):
         """Packed ids of one text (bytes; None counts as empty)."""
+        if not text:
+            return b""
+        if self.added and self.shared in text:
+            parts = self.at_added.split(text)  # every second one is an added token
+            if len(parts) > 1:
+                between = map(self._between, parts[::2])
+                tokens = [self.added[t] for t in parts[1::2]] + [b""]
+                return b"".join([x for pair in zip(between, tokens) for x in pair])
+        return self._between(text)
+
+    def _between(self, text):
+        """Packed ids of a text without added tokens."""
         if not text:
             return b""
         spaced, known = self.spaced, self.pieces

@@ -235,6 +235,20 @@ def test_pieces_equal_the_library(real, name, spaced):
         assert np.frombuffer(encoder.text(text.encode()), "<u4").tolist() == e.ids, text
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_added_tokens_equal_a_fresh_library(name, spaced):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    encoder, fresh = pieces.PieceEncoder(path, "<u4", spaced), Tokenizer.from_file(path)
+    texts = TRICKY + ["one <|endoftext|> two", "<|endoftext|>", "a<|startoftext|>\u0301b <|ENDOFTEXT|> <|end"]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|", " ", "  ", "\n", "a", "É", "e\u0301", "it's", ".", "7"]
+    rng = random.Random(7)
+    texts += ["".join(rng.choices(parts, k=12)) for _ in range(1000)]
+    for text, e in zip(texts, fresh.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.text(text.encode()), "<u4").tolist() == e.ids, text
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
 def test_bodies_round_trip(bits):
     rng = np.random.default_rng(bits)
