@@ -9,7 +9,7 @@ from pulse.session import shared_folder
 
 
 def quality(spark, docs, sf_dir):
-    """Documents that fail the quality rules go."""
+    """Documents that fail the quality rules go, and so do lines that a host's texts share."""
     return line_quality.keep_good(docs)
 
 

@@ -7,6 +7,9 @@ more than ``min_texts``. A document is depleted, and rejected, if more than ``de
 of its words stood in such lines. Copies of one text count once, so a text is not depleted
 by its own copies.
 
+``keep_good`` takes the lines over the limit out of the texts it keeps; ``n_chars`` follows the
+text. Verdicts are those of the whole texts, and ``quality_verdicts`` leaves texts alone.
+
 Lines are counted in two steps. The first counts documents, with partial sums before the
 shuffle, and leaves at most ``average lines / share`` lines per host. Only places of those
 lines are written down, and the exact count of distinct texts and the removal work on them.
@@ -29,6 +32,7 @@ DEPLETED = 0.5
 # Beyond so many distinct repeated windows, places are found by sorting, not by search.
 FEW_WINDOWS = 64
 FEW_KEYS = 1_000_000  # rejected rows up to which they are broadcast
+FEW_LISTS = 200_000  # rows with lines to remove up to which they are broadcast
 
 
 def _with_repeat_words(docs):
@@ -95,12 +99,22 @@ def text_counts(docs):
     return docs.withColumn("base_failed", failed)
 
 
+def _one_spaced(text):
+    return F.translate(F.lower(text), "\t\x0b\x0c\r", "    ")
+
+
+def _trimmed(line):
+    return F.trim(F.regexp_replace(line, " +", " "))
+
+
+def _folded(line):
+    """One line, normalised; the same as in ``_normalised_lines``, as case ends at a line's end."""
+    return _trimmed(_one_spaced(line))
+
+
 def _normalised_lines(text):
     """Hash and number of words of every line with a word, normalised."""
-    folded = F.transform(
-        F.split(F.translate(F.lower(text), "\t\x0b\x0c\r", "    "), "\n", -1),
-        lambda line: F.trim(F.regexp_replace(line, " +", " ")),
-    )
+    folded = F.transform(F.split(_one_spaced(text), "\n", -1), _trimmed)
     return F.transform(
         F.filter(folded, lambda line: line != ""),
         lambda line: F.struct(
@@ -110,11 +124,8 @@ def _normalised_lines(text):
     )
 
 
-def removed_words(docs, host="source", share=SHARE, min_texts=MIN_TEXTS):
-    """Words of each row that stand in lines over the limit: ``key`` (see ``row_key``), ``removed``.
-
-    Rows without such lines are not listed.
-    """
+def _places_over_limit(docs, host, share, min_texts):
+    """Lines over the limit of each row: ``key`` (see ``row_key``), ``line``, ``words``, ``times``."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").alias("_id"),
@@ -153,11 +164,47 @@ def removed_words(docs, host="source", share=SHARE, min_texts=MIN_TEXTS):
         .where(F.col("texts") > F.col("limit"))
         .select("host", "line")
     )
-    return (
-        places.join(over, ["host", "line"])
-        .groupBy("key")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("removed"))
+    return places.join(over, ["host", "line"]).select("key", "line", "words", "times")
+
+
+def _words_of_places(places):
+    return places.groupBy("key").agg(F.sum(F.col("words") * F.col("times")).alias("removed"))
+
+
+def removed_words(docs, host="source", share=SHARE, min_texts=MIN_TEXTS):
+    """Words of each row that stand in lines over the limit: ``key`` (see ``row_key``), ``removed``.
+
+    Rows without such lines are not listed.
+    """
+    return _words_of_places(_places_over_limit(docs, host, share, min_texts))
+
+
+def _without_lines(text, over):
+    """``text`` without the lines whose hash is in ``over``."""
+    rest = F.filter(
+        F.split(text, "\n", -1), lambda line: ~F.array_contains(over, F.xxhash64(_folded(line)))
     )
+    return F.array_join(rest, "\n")
+
+
+def _clean(docs, places, host):
+    """``docs`` without the lines in ``places``; other rows stay as they are."""
+    folder = shared_folder(docs.sparkSession, "lines-over")
+    lines = places.groupBy("key").agg(F.collect_set("line").alias("_over"))
+    lines.select("key.a", "key.b", "_over").write.parquet(folder)
+    lines = docs.sparkSession.read.parquet(folder).toDF("_a", "_b", "_over")
+    if lines.count() <= FEW_LISTS:  # otherwise both sides are shuffled
+        lines = F.broadcast(lines)
+    key = _key(host)
+    found = docs.join(lines, (key["a"] == F.col("_a")) & (key["b"] == F.col("_b")), "left")
+    cleaned = _without_lines(text_or_empty(), F.col("_over"))
+    found = found.withColumn("_cleaned", F.when(F.col("_over").isNotNull(), cleaned))
+    text = F.coalesce("_cleaned", "text")
+    new = {"text": text.cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        chars = F.when(F.col("_cleaned").isNull(), F.col("n_chars")).otherwise(F.length("_cleaned"))
+        new["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
+    return found.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -171,32 +218,38 @@ def _key(host):
 
 def quality_verdicts(docs, host="source", share=SHARE, min_texts=MIN_TEXTS, depleted=DEPLETED):
     """``doc_id``, ``key``, the counts, ``base_failed`` and ``kept`` of every row."""
+    return _verdicts(docs, host, _places_over_limit(docs, host, share, min_texts), depleted)
+
+
+def _verdicts(docs, host, places, depleted):
     rows = docs.select("doc_id", _key(host).alias("key"), text_or_empty().alias("_text"))
     counted = text_counts(rows).drop("_text")
-    removed = removed_words(docs, host, share, min_texts)
+    removed = _words_of_places(places)
     poor = F.coalesce(F.col("removed"), F.lit(0)) > depleted * F.col("n_words")
     return counted.join(removed, "key", "left").select(
         "doc_id", "key", *COUNTS, "base_failed", (~F.col("base_failed") & ~poor).alias("kept")
     )
 
 
-def keep_good(docs, host="source", **options):
-    """The rows of ``docs`` that pass, with their columns.
+def keep_good(docs, host="source", share=SHARE, min_texts=MIN_TEXTS, depleted=DEPLETED):
+    """The rows of ``docs`` that pass, with their columns, without lines over the limit.
 
     Verdicts are written down before they are used: a filter on them would be pushed into
     the counts and build their arrays once per word.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "verdicts")
-    quality_verdicts(docs, host, **options).select("key", "kept").write.parquet(folder)
+    places = _places_over_limit(docs, host, share, min_texts)
+    _verdicts(docs, host, places, depleted).select("key", "kept").write.parquet(folder)
     rejected = spark.read.parquet(folder).where("NOT kept").select("key.a", "key.b").distinct()
     if rejected.count() <= FEW_KEYS:  # otherwise both sides are shuffled
         rejected = F.broadcast(rejected)
     rejected = rejected.toDF("_a", "_b")
     key = _key(host)
-    return docs.join(
+    kept = docs.join(
         rejected, (key["a"] == F.col("_a")) & (key["b"] == F.col("_b")), "left_anti"
     )
+    return _clean(kept, places, host)
 
 
 def query(spark, sf_dir):

@@ -443,6 +443,28 @@ def test_shared_lines_deplete(spark, odd, none):
     assert kept.columns == odd.columns and line_quality.keep_good(none).count() == 0
 
 
+def test_kept_texts_lose_lines_over_the_limit(spark):
+    import re
+
+    docs = spark.createDataFrame(
+        [
+            (i, f"own {i} " + " ".join(f"u{i}x{k}" for k in range(60)) + "\r\n\n" + line + f"\nlast {i}", "h", 1)
+            for i, line in enumerate(["Read  MORE ΣΑΣ\tÉ here\r", " read more σας é HERE"] * 15 + ["rare words"] * 5)
+        ],
+        "doc_id long, text string, source string, n_chars int",
+    )
+    got = corpus_pipeline.quality(spark, docs, SMALL)
+    assert got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    got = {r.doc_id: r for r in got.collect()}
+    assert len(got) == 35
+    for r in docs.collect():
+        if r.doc_id >= 30:
+            assert got[r.doc_id] == r
+        else:
+            rest = "\n".join(x for x in r.text.split("\n") if not re.search("more", x, re.I))
+            assert (got[r.doc_id].text, got[r.doc_id].n_chars) == (rest, len(rest)) and rest != r.text
+
+
 def test_repeated_windows_by_search_and_by_sort(spark):
     half = [f"w{i}" for i in range(300)]
     texts = {1: " ".join(half + half), 2: " ".join(half + half[:20]), 3: " ".join(half), 4: "a b c a b c"}
