@@ -3,15 +3,18 @@
 The counts are expressions over one row. The cross-document rule hashes normalised lines
 (lower case, white space folded), counts for each host the distinct texts that hold a
 line, and takes lines out that more than ``share`` of the host's distinct texts hold, and
-more than ``min_texts``. A document is depleted, and rejected, if more than ``depleted``
+more than ``min_texts``; with ``max_texts``, lines that more than so many texts hold go
+whatever the share, so that the limit does not loosen with a host's size. A document is depleted, and rejected, if more than ``depleted``
 of its words stood in such lines. Copies of one text count once, so a text is not depleted
 by its own copies.
 
 ``keep_good`` takes the lines over the limit out of the texts it keeps; ``n_chars`` follows the
-text. Verdicts are those of the whole texts, and ``quality_verdicts`` leaves texts alone.
+text. Verdicts are those of the whole texts, and ``quality_verdicts`` leaves texts alone. The
+query has the limit of its SQL, without ``max_texts``; ``keep_good`` has ``MAX_TEXTS``.
 
 Lines are counted in two steps. The first counts documents, with partial sums before the
-shuffle, and leaves at most ``average lines / share`` lines per host. Only places of those
+shuffle, and leaves at most ``average lines / share`` lines per host (with ``max_texts`` the
+host's lines over that number). Only places of those
 lines are written down, and the exact count of distinct texts and the removal work on them.
 
 Defined cases: null text counts as empty and fails the base rule; null host is a host of
@@ -28,6 +31,7 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 SHARE = 0.1
 MIN_TEXTS = 20
+MAX_TEXTS = 200  # below the share's limit in hosts of more than 2000 texts
 DEPLETED = 0.5
 # Beyond so many distinct repeated windows, places are found by sorting, not by search.
 FEW_WINDOWS = 64
@@ -124,7 +128,7 @@ def _normalised_lines(text):
     )
 
 
-def _places_over_limit(docs, host, share, min_texts):
+def _places_over_limit(docs, host, share, min_texts, max_texts=None):
     """Lines over the limit of each row: ``key`` (see ``row_key``), ``line``, ``words``, ``times``."""
     spark = docs.sparkSession
     rows = docs.select(
@@ -133,10 +137,13 @@ def _places_over_limit(docs, host, share, min_texts):
         F.xxhash64(text_or_empty()).alias("same"),
         text_or_empty().alias("_text"),
     ).withColumn("key", row_key(F.col("_id"), F.col("host"), F.col("_text")))
+    limit = F.greatest(F.lit(min_texts), F.col("texts") * share)
+    if max_texts is not None:
+        limit = F.least(limit, F.lit(max_texts))
     limits = (
         rows.groupBy("host")
         .agg(F.countDistinct("same").alias("texts"))
-        .select("host", F.greatest(F.lit(min_texts), F.col("texts") * share).alias("limit"))
+        .select("host", limit.alias("limit"))
     )
     found = rows.withColumn("_found", _normalised_lines(F.col("_text"))).drop("_text", "_id")
     lines = F.array_distinct(F.transform("_found", lambda x: x["line"]))
@@ -231,7 +238,9 @@ def _verdicts(docs, host, places, depleted):
     )
 
 
-def keep_good(docs, host="source", share=SHARE, min_texts=MIN_TEXTS, depleted=DEPLETED):
+def keep_good(
+    docs, host="source", share=SHARE, min_texts=MIN_TEXTS, max_texts=MAX_TEXTS, depleted=DEPLETED
+):
     """The rows of ``docs`` that pass, with their columns, without lines over the limit.
 
     Verdicts are written down before they are used: a filter on them would be pushed into
@@ -239,7 +248,7 @@ def keep_good(docs, host="source", share=SHARE, min_texts=MIN_TEXTS, depleted=DE
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "verdicts")
-    places = _places_over_limit(docs, host, share, min_texts)
+    places = _places_over_limit(docs, host, share, min_texts, max_texts)
     _verdicts(docs, host, places, depleted).select("key", "kept").write.parquet(folder)
     rejected = spark.read.parquet(folder).where("NOT kept").select("key.a", "key.b").distinct()
     if rejected.count() <= FEW_KEYS:  # otherwise both sides are shuffled

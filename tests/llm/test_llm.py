@@ -465,6 +465,18 @@ def test_kept_texts_lose_lines_over_the_limit(spark):
             assert (got[r.doc_id].text, got[r.doc_id].n_chars) == (rest, len(rest)) and rest != r.text
 
 
+def test_a_shared_footer_goes_from_hot_and_small_hosts(spark):
+    # 250 of the hot host's 3000 texts hold the footer, below its share; 25 of the small one's 100
+    rows = [
+        (i, " ".join(f"u{i}x{k}" for k in range(55)) + ("\nfollow us" if at < n else ""), host)
+        for host, first, size, n in (("hot", 0, 3000, 250), ("small", 3000, 100, 25), ("rare", 3100, 3000, 15))
+        for at, i in enumerate(range(first, first + size))
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = line_quality.keep_good(docs).where("text LIKE '%follow us'")
+    assert {(r.source, r["count"]) for r in left.groupBy("source").count().collect()} == {("rare", 15)}
+
+
 def test_repeated_windows_by_search_and_by_sort(spark):
     half = [f"w{i}" for i in range(300)]
     texts = {1: " ".join(half + half), 2: " ".join(half + half[:20]), 3: " ".join(half), 4: "a b c a b c"}
