@@ -5,11 +5,12 @@ tokens as begin, inside or outside of a secret, from their shape and length, the
 before and after them, and features of the whole text; the best tagging is found by Viterbi.
 Its secrets are added where no pattern reported one.
 
-Only stretches around digits and key words are decoded. That is exact: ``margin`` checks
-that for a token without any telling feature no gain from transitions can outweigh the
-loss against "outside", so all tokens between the stretches are outside in the best
-tagging of the whole text. If the trained field does not have the margin, its transitions
-are scaled down until it has.
+Only stretches around digits and key words are decoded. ``margin`` checks that for words,
+bare marks and bare numbers without a telling context no gain from transitions can outweigh
+the loss against "outside". If the trained field does not have the margin, its transitions
+are scaled down until it has. Not covered by the margin, so possibly tagged otherwise than in
+a decoding of the whole text: tokens outside the stretches in upper case, of mixed or coded
+shape, after a sign or quote, or before a mark.
 
 The field is trained here, by gradient steps on the likelihood with a prior around the
 starting weights, from stretches of about ``SAMPLE`` documents (chosen by hash over the whole table)
@@ -156,7 +157,7 @@ def stretches(text):
         if m.end() - start >= LENGTHS[0]:
             places.append((start, m.end()))
     low = text.lower()
-    if len(low) == len(text) and any(k in low for k in KEY_WORDS):
+    if any(k in low for k in KEY_WORDS):
         places += [m.span() for m in _KEY.finditer(text)]
     parts = []
     for start, end in sorted(places):

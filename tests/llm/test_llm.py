@@ -114,6 +114,11 @@ def test_stretches_decode_like_whole_texts():
     assert found == {s for s in starts if not any(a <= s < b for _, a, b, _ in base)}
 
 
+def test_key_words_open_stretches_whatever_lowering_does():
+    text = "stands here: pwd abcdefghijkl and more words " * 3
+    assert secret_tags.stretches("\u0130 " + text) == secret_tags.stretches("I " + text) != []
+
+
 def test_training_finds_what_patterns_find(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
     examples = secret_tags.training_stretches([r.text or "" for r in rows])
