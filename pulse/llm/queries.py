@@ -5,9 +5,12 @@ from pulse.llm import (
     chat_windows,
     kk_packing,
     license_templates,
+    line_dedup,
     line_quality,
     near_dups,
     packed_ids,
+    periodic_runs,
+    ranked_search,
     scaled_sketch,
     secret_tags,
     toxic_lexicon,
@@ -25,6 +28,9 @@ _MODULES = {
     "op8_line_quality": line_quality,
     "op9_toxic_lexicon": toxic_lexicon,
     "op10_kk_packing": kk_packing,
+    "op11_periodic_runs": periodic_runs,
+    "op12_ranked_search": ranked_search,
+    "op13_line_dedup": line_dedup,
 }
 
 
