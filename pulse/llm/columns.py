@@ -32,3 +32,14 @@ def row_key(*columns):
     return F.struct(
         F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(7), *reversed(columns)).alias("b")
     )
+
+
+def held(df, columns):
+    """``df`` plus computed columns that no later filter is pushed into.
+
+    A filter on a computed column would be moved below the steps that compute it and build
+    their arrays anew, inside a lambda once per element. A generator of one row stops it.
+    """
+    names = [c for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*names, F.inline(F.array(row)))

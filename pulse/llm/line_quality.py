@@ -24,7 +24,7 @@ columns beyond ``doc_id``, ``text`` and the host are not looked at.
 
 from pyspark.sql import functions as F
 
-from pulse.llm.columns import SPACES, row_key, text_or_empty, words_of
+from pulse.llm.columns import SPACES, held, row_key, text_or_empty, words_of
 from pulse.session import shared_folder
 
 MIN_WORDS = 50
@@ -88,15 +88,16 @@ def text_counts(docs):
     docs = docs.withColumn("_sorted", F.when(alike, F.sort_array("_windows")).otherwise(none))
     doubles = F.filter("_sorted", lambda h, i: F.coalesce(F.get("_sorted", i - 1) == h, F.lit(False)))
     docs = docs.withColumn("_repeated", F.array_distinct(doubles))
-    n_words = F.size(words).cast("long")
-    docs = _with_repeat_words(docs).withColumns(
-        {
-            "n_words": n_words,
-            "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        }
-    ).drop("_words", "_lines", "_windows", "_sorted", "_repeated")
+    counts = {
+        "n_words": F.size(words).cast("long"),
+        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
+        "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_repeat_words": F.col("n_repeat_words"),
+    }
+    docs = held(_with_repeat_words(docs), counts).drop(
+        "_words", "_lines", "_windows", "_sorted", "_repeated"
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
     )

@@ -21,7 +21,7 @@ empty sketch, alike 1 to another empty text and 0 to any other.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pulse.llm.columns import shingle_hashes, text_or_empty, words_of
+from pulse.llm.columns import held, shingle_hashes, text_or_empty, words_of
 
 WORDS = 5
 SCALE = 8
@@ -37,9 +37,8 @@ def with_sketch(df, text, name, n=WORDS, scale=SCALE):
     kept = F.filter(F.col(h), lambda x: x < F.lit(_LOWEST + (1 << 64) // scale))
     df = df.withColumn(name, F.array_distinct(kept))
     smallest = F.when(F.size(h) > 0, F.array(F.array_min(h))).otherwise(F.col(name))
-    return df.withColumn(
-        name, F.when(F.size(name) > 0, F.sort_array(name)).otherwise(smallest)
-    ).drop(w, h)
+    sketch = F.when(F.size(name) > 0, F.sort_array(name)).otherwise(smallest)
+    return held(df, {name: sketch}).drop(w, h)
 
 
 def likeness(a, b):

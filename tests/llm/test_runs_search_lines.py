@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pulse.llm import line_dedup, periodic_runs, ranked_search
+from pulse.llm import line_dedup, line_quality, periodic_runs, ranked_search, scaled_sketch
 from tests.llm.test_llm import LONG, ODD_TEXTS, SMALL
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -254,3 +254,30 @@ def test_lines_of_odd_tables(spark, odd):
     got = {r.row.doc_id: r for r in line_dedup.dedup_lines(odd).collect()}
     assert got[8].n_dropped == 0 and got[9].kept_text == "" and got[0].n_lines == 1
     assert got[101].n_dropped == 0  # rows of one document do not count as two
+
+
+# --- filters on results ------------------------------------------------------------------
+
+QUALITY_FILTERS = [
+    "n_words > 100", "word_chars > 100", "n_symbols = 0", "n_dup_lines > 0", "n_repeat_words > 10",
+    "base_failed", "kept",
+]
+SKETCH_FILTERS = [
+    "n_chars > 100", "edited_sha256 > '8'", "fingerprint LIKE '%8'", "edited_fingerprint LIKE '%8'",
+    "near_edited < 0.9", "near_next < 0.1",
+]
+
+
+@pytest.mark.parametrize(
+    "module, conditions", [(line_quality, QUALITY_FILTERS), (scaled_sketch, SKETCH_FILTERS)]
+)
+def test_filters_on_any_result_column(spark, module, conditions):
+    """A filter stays above the steps that cut a text up, and finds what it should."""
+    whole = module.query(spark, SMALL)
+    rows = spark.createDataFrame(whole.collect(), whole.schema).cache()
+    for condition in [*conditions, " AND ".join(conditions)]:
+        found = whole.where(condition)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.split("\n") if re.match(r"[\s:+-]*Filter", line)]
+        assert not any(re.search("split|sequence", line) for line in filters), condition
+        assert found.count() == rows.where(condition).count(), condition
