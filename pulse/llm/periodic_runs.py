@@ -322,7 +322,8 @@ def find_runs(docs, words_of=split_words):
     plain = texts.where("text IS NULL").select(
         "doc_id", F.array().cast(_RUNS).alias("runs"), F.col("whole").alias("collapsed_sha256")
     )
-    found = spark.read.parquet(_written(_runs(table), "runs"))
+    # a merge join at every size: a small table of runs would be broadcast, a large one not
+    found = spark.read.parquet(_written(_runs(table), "runs")).hint("merge")
     tiled = texts.where("text IS NOT NULL").join(found, "key", "left").select(
         "doc_id", "whole", "text", F.coalesce("runs", F.array().cast(_RUNS)).alias("runs")
     )
