@@ -26,6 +26,7 @@ from pulse.operators import ingest, transform  # noqa: E402
 from pulse.plans import activity, categories, overview, status, stories, tools, trend  # noqa: E402
 from pulse.schemas import RAW_COLUMNS  # noqa: E402
 from pulse.session import shared_folder  # noqa: E402
+from pulse.sources import bronze as bronze_store  # noqa: E402
 from pulse.sources import snapshots as lake  # noqa: E402
 from pulse.sources import tables  # noqa: E402
 from pulse.streaming import ingest as stream_ingest  # noqa: E402
@@ -215,10 +216,10 @@ def _scan_recent(spark, sf_dir):
 
 def _scan_recent_bronze(spark, sf_dir):
     root, now = _two_arrivals(spark, sf_dir)
-    bronze = lake.write_bronze(
+    bronze = bronze_store.write_bronze(
         lake.scan_snapshots(spark, root), shared_folder(spark, "bronze")
     )
-    return _snapshot_rows(lake.scan_recent_bronze(spark, bronze, now=now))
+    return _snapshot_rows(bronze_store.scan_recent_bronze(spark, bronze, now=now))
 
 
 def _write_snapshot(spark, sf_dir):
@@ -244,7 +245,7 @@ def _incremental_ingest(spark, sf_dir):
     lake.write_snapshots(raw.where(late), f"{root}/late")
     for _ in range(2):
         stream_ingest.ingest_new(spark, root, bronze, checkpoint)
-    return _snapshot_rows(lake.scan_bronze(spark, bronze))
+    return _snapshot_rows(bronze_store.scan_bronze(spark, bronze))
 
 
 def _rewritten_ingest(spark, sf_dir):
@@ -255,7 +256,7 @@ def _rewritten_ingest(spark, sf_dir):
     for rows in (F.col("run_id") < LATER_RUNS, F.col("run_id") >= LATER_RUNS):
         lake.write_snapshot(raw.where(rows), root, "2024/02/01/09-00")
         stream_ingest.ingest_new(spark, root, bronze, checkpoint)
-    return _snapshot_rows(lake.scan_bronze(spark, bronze))
+    return _snapshot_rows(bronze_store.scan_bronze(spark, bronze))
 
 
 def _load_posts(spark, sf_dir):
@@ -271,6 +272,24 @@ def _loaded_counts(spark, sf_dir):
     return status.loaded_counts(loaded.posts, loaded.mentions)
 
 
+def _refresh_days(spark, sf_dir):
+    """Two arrivals and a refresh of changed days after each; the second corrects a run."""
+    raw = _raw(spark, sf_dir)
+    root, bronze, state, stored = (
+        shared_folder(spark, n) for n in ("lake", "bronze", "ingest-state", "tables")
+    )
+    wrong = raw.agg(F.min("run_id")).first()[0]
+    early, late = F.col("run_id") < LATER_RUNS, F.col("run_id") >= LATER_RUNS
+    first = raw.where(early).unionByName(raw.where(F.col("run_id") == wrong))
+    lake.write_snapshots(first, f"{root}/early")
+    stream_ingest.ingest_new(spark, root, bronze, state)
+    tables.refresh_days(spark, bronze, stored)
+    lake.write_snapshots(raw.where(late), f"{root}/late")
+    lake.write_snapshot(raw.where(F.col("run_id") == wrong), root, wrong)
+    stream_ingest.ingest_new(spark, root, bronze, state)
+    return tables.refresh_days(spark, bronze, stored)
+
+
 def _load_posts_nulls(raw):
     return transform.build_posts(raw, compat=False)
 
@@ -340,6 +359,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_posts_nulls": _on_raw(_load_posts_nulls),
         "load_mentions": _load_mentions,
         "loaded_counts": _loaded_counts,
+        "refresh_days_posts": lambda spark, sf_dir: _refresh_days(spark, sf_dir).posts,
+        "refresh_days_mentions": lambda spark, sf_dir: _refresh_days(spark, sf_dir).mentions,
         # overview
         "overview_kpis": _on_posts(overview.overview_kpis),
         "kpis_display": _on_posts(overview.kpis_display),

@@ -306,6 +306,7 @@ SELECT doc_id, substring(text, 1, 300) AS title, substring(text, 1, 500) AS url,
     sql["load_mentions"] = _mentions(
         "SELECT post_id, tool, category, source, score, fetched_at FROM mentions"
     )
+    sql["refresh_days_posts"], sql["refresh_days_mentions"] = sql["load_posts"], sql["load_mentions"]
     sql["loaded_counts"] = _both(
         "SELECT (SELECT COUNT(*) FROM posts) AS posts, (SELECT COUNT(*) FROM mentions) AS mentions"
     )

@@ -3,7 +3,7 @@
     python -m pulse.jobs ingest  --items s3a://b/landed/run --lake s3a://b/raw --run-id 2024/01/31/09-00
     python -m pulse.jobs bronze  --lake s3a://b/raw --bronze s3a://b/bronze --state s3a://b/state
     python -m pulse.jobs refresh --lake s3a://b/raw --tables s3a://b/tables
-    python -m pulse.jobs refresh --bronze s3a://b/bronze --tables s3a://b/tables
+    python -m pulse.jobs refresh --bronze s3a://b/bronze --tables s3a://b/tables --changed
     python -m pulse.jobs show    --tables s3a://b/tables --page overview
     python -m pulse.jobs show    --tables s3a://b/tables --page stories --source best --out s3a://b/out
     python -m pulse.jobs trend   --tables s3a://b/tables --out s3a://b/trend
@@ -21,10 +21,11 @@ from pulse.plans.dashboard import PAGES
 from pulse.plans.status import loaded_counts
 from pulse.schemas import MENTIONS_SCHEMA
 from pulse.session import build_session
+from pulse.sources import bronze as bronze_store
 from pulse.sources import snapshots as lake
 from pulse.sources import tables
 from pulse.streaming import trend as stream_trend
-from pulse.streaming.ingest import ingest_new
+from pulse.streaming.ingest import LATE_DAYS, ingest_new
 
 LANDED_SCHEMA = "source string, rank int, item string"
 
@@ -46,13 +47,19 @@ def ingest_run(spark, items, lake_root, run_id, now=None):
 
 
 def refresh_tables(spark, tables_root, lake_root=None, local_root="data/raw", bronze=None,
-                   days=lake.RECENT_DAYS, now=None, compat=True, dedup=None):
+                   days=lake.RECENT_DAYS, now=None, compat=True, dedup=None, changed=False):
     """Rebuild both tables from the snapshots of the last days.
 
-    ``bronze`` reads the Parquet form of the lake and is the way at scale.
+    ``bronze`` reads the Parquet form of the lake and is the way at scale; with ``changed``
+    only days whose runs changed are built again. ``dedup`` compares all days, so it needs a
+    full refresh.
     """
+    if changed:
+        if not bronze or dedup:
+            raise ValueError("a refresh of changed days reads bronze and does not deduplicate")
+        return tables.refresh_days(spark, bronze, tables_root, days, now, compat)
     if bronze:
-        raw = lake.scan_recent_bronze(spark, bronze, days, now)
+        raw = bronze_store.scan_recent_bronze(spark, bronze, days, now)
     else:
         raw = lake.load_snapshots(spark, lake_root, local_root, days, now)
     return tables.refresh(raw, tables_root, compat=compat, dedup=dedup)
@@ -99,6 +106,8 @@ def main(argv=None):
     bronze.add_argument("--lake", required=True)
     bronze.add_argument("--bronze", required=True)
     bronze.add_argument("--state", required=True)
+    bronze.add_argument("--late-days", type=int, default=LATE_DAYS, help="days listed again for late files")
+    bronze.add_argument("--all", action="store_true", help="list the whole lake")
 
     refresh = commands.add_parser("refresh")
     refresh.add_argument("--lake")
@@ -107,6 +116,7 @@ def main(argv=None):
     refresh.add_argument("--tables", required=True)
     refresh.add_argument("--days", type=int, default=lake.RECENT_DAYS)
     refresh.add_argument("--dedup", choices=["latest"])
+    refresh.add_argument("--changed", action="store_true", help="only days whose runs changed")
 
     show = commands.add_parser("show")
     show.add_argument("--tables", required=True)
@@ -128,10 +138,12 @@ def main(argv=None):
     if args.command == "ingest":
         print(ingest_run(spark, args.items, args.lake, args.run_id))
     elif args.command == "bronze":
-        print(ingest_new(spark, args.lake, args.bronze, args.state))
+        late_days = None if args.all else args.late_days
+        print(ingest_new(spark, args.lake, args.bronze, args.state, late_days=late_days))
     elif args.command == "refresh":
         loaded = refresh_tables(
-            spark, args.tables, args.lake, args.local, args.bronze, args.days, dedup=args.dedup
+            spark, args.tables, args.lake, args.local, args.bronze, args.days, dedup=args.dedup,
+            changed=args.changed,
         )
         loaded_counts(loaded.posts, loaded.mentions).show()
     elif args.command == "trend":

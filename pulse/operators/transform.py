@@ -16,8 +16,8 @@ def clean_authors(raw):
     return raw.where(S.present_author(F.col("author")))
 
 
-def transform(raw, dedup=None):
-    """Cleaned posts with ``mentions`` as a map; narrow, one stage.
+def transform(raw, dedup=None, keep=()):
+    """Cleaned posts with ``mentions`` as a map; narrow, one stage. ``keep`` names more columns.
 
     A post that was seen in several runs counts once per run. ``dedup="latest"`` keeps
     only its last snapshot, at the price of one exchange; a story whose author is gone by
@@ -43,6 +43,7 @@ def transform(raw, dedup=None):
         S.created_weekday(epoch).alias("created_weekday"),
         "fetched_at",
         parse_mentions(F.col("tool_mentions")).alias("mentions"),
+        *keep,
     )
 
 
@@ -55,17 +56,18 @@ def _render_nulls(df, compat):
     return df.fillna({c: v for c, v in filler.items() if c in df.columns})
 
 
-def posts_table(cleaned, compat=True):
-    """The 14 columns of ``posts``; ``compat=False`` keeps nulls as nulls."""
+def posts_table(cleaned, compat=True, keep=()):
+    """The 14 columns of ``posts`` and ``keep``; ``compat=False`` keeps nulls as nulls."""
     table = cleaned.select(
         *POSTS_COLUMNS[:-2],
         mentions_json(F.col("mentions")).alias("tool_mentions"),
         F.size("mentions").alias("mention_count"),
+        *keep,
     )
     return _render_nulls(table, compat)
 
 
-def mentions_table(cleaned, compat=True):
+def mentions_table(cleaned, compat=True, keep=()):
     """The 6 columns of ``tool_mentions``: one row per post and term.
 
     Source, score and fetch time are carried along, so no query needs a join.
@@ -73,26 +75,26 @@ def mentions_table(cleaned, compat=True):
     # Exploding the bare map column would make the optimizer add a test that it is not
     # empty and push that test down, which means building every map twice.
     entries = cleaned.select(
-        "post_id", "source", "score", "fetched_at",
+        "post_id", "source", "score", "fetched_at", *keep,
         F.explode(F.map_entries("mentions")).alias("mention"),
     )
     table = entries.withColumns(
         {"tool": F.col("mention.key"), "category": F.col("mention.value")}
-    ).select(*MENTIONS_COLUMNS)
+    ).select(*MENTIONS_COLUMNS, *keep)
     return _render_nulls(table, compat)
 
 
-def mentions_from_posts(posts, compat=True):
+def mentions_from_posts(posts, compat=True, keep=()):
     """``tool_mentions`` out of a stored ``posts`` table, reading 5 of its columns."""
     parsed = posts.where(F.col("mention_count") > 0).select(
-        "post_id", "source", "score", "fetched_at",
+        "post_id", "source", "score", "fetched_at", *keep,
         parse_mentions(F.col("tool_mentions")).alias("mentions"),
     )
-    return mentions_table(parsed, compat)
+    return mentions_table(parsed, compat, keep)
 
 
-def build_posts(raw, compat=True, dedup=None):
-    return posts_table(transform(raw, dedup), compat)
+def build_posts(raw, compat=True, dedup=None, keep=()):
+    return posts_table(transform(raw, dedup, keep), compat, keep)
 
 
 def build_mentions(raw, compat=True, dedup=None):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulse.schemas import RAW_COLUMNS
 from pulse.session import shared_folder
 from checks import events_feed as feed
+from pulse.sources import bronze as bronze_store
 from pulse.sources import snapshots as lake
 from tests.helpers import initial_plan, raw_frame, raw_row
 
@@ -109,7 +110,7 @@ def test_fallbacks(spark, tmp_path):
     put(store, "2024/03/10/09-00", [raw_row(post_id="new")], NOW)
     assert load(store) == ["new"]
     empty = lake.load_snapshots(spark, None, str(tmp_path / "nowhere"))
-    assert empty.count() == 0 and empty.columns == lake.BRONZE_COLUMNS
+    assert empty.count() == 0 and empty.columns == bronze_store.BRONZE_COLUMNS
 
 
 def test_snapshot_round_trip(spark, tmp_path):
@@ -159,16 +160,20 @@ def test_large_run_is_split_into_bounded_arrays(spark, tmp_path):
             for c in RAW_COLUMNS
         ]
     )
-    lake.write_snapshot(rows, str(tmp_path), "2024/03/01/09-00", size)
-    folder = tmp_path / "2024/03/01/09-00"
-    names = sorted(os.listdir(folder))
-    assert all(n.endswith(".json") for n in names if not n.startswith("."))
-    sizes = [n for _, n in array_sizes(tmp_path)]
-    total = sum(os.path.getsize(folder / n) for n in names if n.endswith(".json"))
-    assert sum(sizes) == 5000 and total / size <= len(sizes) <= total / size + 5
-    lake.write_snapshot(rows.limit(3), str(tmp_path), "2024/03/01/09-00")
-    assert [n for _, n in array_sizes(tmp_path)] == [3]
-    lake.write_snapshot(rows, str(tmp_path), "2024/03/01/09-00", size)
+    run = "2024/03/01/09-00"
+
+    def sizes():
+        files = lake.current_files(spark, str(tmp_path)).where("path IS NOT NULL").collect()
+        texts = [open(f["path"].removeprefix("file:")).read() for f in files]
+        assert [len(t.encode()) for t in texts] == [f["bytes"] for f in files]
+        return [len(json.loads(t)) for t in texts], sum(map(len, texts))
+
+    lake.write_snapshot(rows, str(tmp_path), run, size)
+    counts, total = sizes()
+    assert sum(counts) == 5000 and total / size <= len(counts) <= total / size + 5
+    lake.write_snapshot(rows.limit(3), str(tmp_path), run)
+    assert sizes()[0] == [3]
+    lake.write_snapshot(rows, str(tmp_path), run, size)
     counts = lake.scan_snapshots(spark, str(tmp_path)).groupBy("post_id").count()
     assert counts.where("post_id = 'hot'").first()["count"] == 1667
 
@@ -206,9 +211,9 @@ def test_bronze_prunes_by_day_and_is_exact(spark, tmp_path):
     }
     for day, (name, modified) in enumerate(files.items(), 1):
         put(root, f"2024/03/0{day}/09-00", [raw_row(post_id=name)], modified)
-    lake.write_bronze(lake.scan_snapshots(spark, root), bronze)
-    assert ids(lake.scan_bronze(spark, bronze)) == ["at", "before", "new", "old"]
-    recent = lake.scan_recent_bronze(spark, bronze, now=NOW)
+    bronze_store.write_bronze(lake.scan_snapshots(spark, root), bronze)
+    assert ids(bronze_store.scan_bronze(spark, bronze)) == ["at", "before", "new", "old"]
+    recent = bronze_store.scan_recent_bronze(spark, bronze, now=NOW)
     assert ids(recent) == ["at", "new"]
     plan = initial_plan(recent)
     assert "PartitionFilters: [isnotnull(dt" in plan and "GreaterThanOrEqual(modified_at" in plan
@@ -221,8 +226,8 @@ def test_a_run_is_recent_as_a_whole(spark, tmp_path):
         put(f"{root}/2024/03/03/09-00", f"v7-0000{n}", [raw_row(post_id=f"p{n}")], cutoff + timedelta(seconds=shift))
     put(f"{root}/2024/03/02/09-00", "v7-00000", [raw_row(post_id="old")], cutoff - timedelta(seconds=1))
     assert ids(lake.scan_recent_snapshots(spark, root, now=NOW)) == ["p0", "p1"]
-    lake.write_bronze(lake.scan_snapshots(spark, root), bronze)
-    assert ids(lake.scan_recent_bronze(spark, bronze, now=NOW)) == ["p0", "p1"]
+    bronze_store.write_bronze(lake.scan_snapshots(spark, root), bronze)
+    assert ids(bronze_store.scan_recent_bronze(spark, bronze, now=NOW)) == ["p0", "p1"]
 
 
 def test_listing_counts_runs_without_opening_files(spark, tmp_path):
@@ -239,11 +244,168 @@ def test_no_bronze_yet(spark, tmp_path):
     nowhere, empty = str(tmp_path / "nowhere"), tmp_path / "empty"
     empty.mkdir()
     for path in (nowhere, str(empty)):
-        assert lake.scan_bronze(spark, path).count() == 0
-        assert lake.scan_recent_bronze(spark, path, now=NOW).count() == 0
+        assert bronze_store.scan_bronze(spark, path).count() == 0
+        assert bronze_store.scan_recent_bronze(spark, path, now=NOW).count() == 0
 
 
 def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one.startswith(base) and one != two
+
+
+# --- commits -----------------------------------------------------------------------------
+
+RUN = "2024/03/01/09-00"
+
+
+def posts(spark, *names):
+    return raw_frame(spark, [raw_row(post_id=n) for n in names])
+
+
+def test_of_two_writers_one_counts_as_a_whole(spark, tmp_path, monkeypatch):
+    """A second write begins and ends while the first one is at work."""
+    root, commit = str(tmp_path), lake._Folder.commit
+
+    def late(folder, version, documents):
+        monkeypatch.setattr(lake._Folder, "commit", commit)
+        lake.write_snapshot(posts(spark, "b1", "b2", "b3"), root, RUN, 100)
+        commit(folder, version, documents)
+
+    lake.write_snapshot(posts(spark, "old"), root, RUN)
+    monkeypatch.setattr(lake._Folder, "commit", late)
+    lake.write_snapshot(posts(spark, "a1", "a2"), root, RUN, 100)
+    assert ids(lake.scan_snapshots(spark, root)) == ["b1", "b2", "b3"]
+    assert lake.lake_runs(spark, root).count() == 1
+    folder = lake._Folder(spark, root, RUN)
+    with pytest.raises(Exception):  # a version is taken once
+        commit(folder, max(folder.versions()), [])
+
+
+def test_a_killed_write_leaves_the_run(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+
+    def killed(folder, version, documents):
+        raise RuntimeError("killed")
+
+    for old in ((), ("old",), ("new1", "new2")):
+        if old:
+            lake.write_snapshot(posts(spark, *old), root, RUN, 100)
+        with monkeypatch.context() as patch:
+            patch.setattr(lake._Folder, "commit", killed)
+            with pytest.raises(RuntimeError):
+                lake.write_snapshot(posts(spark, "x", "y", "z"), root, RUN, 100)
+        assert ids(lake.scan_snapshots(spark, root)) == sorted(old)
+        assert lake.lake_runs(spark, root).count() == bool(old)
+
+
+def test_a_manifest_cut_short_does_not_count(spark, tmp_path):
+    root = str(tmp_path)
+    for names in (("a", "b"), ("c", "d")):
+        lake.write_snapshot(posts(spark, *names), root, RUN, 100)
+    newest = sorted((tmp_path / RUN).glob("*.manifest"))[-1]
+    text = newest.read_text()
+    for end in (0, 5, len(text) - 1, len(text) - 3, len(text) // 2):
+        newest.write_text(text[:end])
+        (newest.parent / f".{newest.name}.crc").unlink(missing_ok=True)
+        assert ids(lake.scan_snapshots(spark, root)) == ["a", "b"], end
+    newest.write_text(text)
+    assert ids(lake.scan_snapshots(spark, root)) == ["c", "d"]
+
+
+def test_a_run_without_rows_is_a_run(spark, tmp_path):
+    root = str(tmp_path)
+    lake.write_snapshot(posts(spark, "a"), root, RUN)
+    lake.write_snapshot(posts(spark, "a").limit(0), root, RUN)
+    assert lake.scan_snapshots(spark, root).count() == 0 and lake.lake_runs(spark, root).count() == 1
+
+
+def test_the_newest_write_counts_whoever_made_it(spark, tmp_path):
+    root, later = str(tmp_path), datetime.now(timezone.utc) + timedelta(days=1)
+    lake.write_snapshot(posts(spark, "a", "b"), root, RUN, 100)
+    put(root, RUN, [raw_row(post_id="foreign")], later)
+    assert ids(lake.scan_snapshots(spark, root)) == ["foreign"]
+    lake.write_snapshot(posts(spark, "c"), root, RUN)  # above what is there, whatever the clock says
+    assert ids(lake.scan_snapshots(spark, root)) == ["c"]
+
+
+def test_old_writes_are_removed_on_request(spark, tmp_path, monkeypatch):
+    root, soon = str(tmp_path), datetime.now(timezone.utc) + timedelta(days=1)
+    for names in (("p",), ("a", "b"), ("c", "d")):
+        lake.write_snapshot(posts(spark, *names), root, RUN, 100)
+    lake.remove_old_writes(spark, root, RUN, soon - timedelta(days=2))
+    assert (tmp_path / f"{RUN}.json").exists() and len(list((tmp_path / RUN).glob("_w*"))) == 2
+    lake.remove_old_writes(spark, root, RUN, soon)
+    left = [p.name for p in (tmp_path / RUN).iterdir() if not p.name.startswith(".")]
+    assert len(left) == 2 and not (tmp_path / f"{RUN}.json").exists()
+    assert ids(lake.scan_snapshots(spark, root)) == ["c", "d"]
+    assert lake.remove_old_writes(spark, root, "2024/03/01/18-00", soon) is None
+
+
+# --- whole runs --------------------------------------------------------------------------
+
+
+def test_a_run_delivered_over_three_days_is_whole(spark, tmp_path):
+    root, bronze = str(tmp_path / "lake"), str(tmp_path / "bronze")
+    cutoff = NOW - timedelta(days=7)
+    for day in range(3):
+        put(f"{root}/{RUN}", f"part{day}", [raw_row(post_id=f"p{day}")], cutoff - timedelta(days=2 - day))
+    put(f"{root}/2024/02/01/09-00", "part0", [raw_row(post_id="old")], cutoff - timedelta(days=1))
+    for delivered in range(1, 4):  # as loads of their own
+        files = lake.current_files(spark, root).where(F.col("path").contains(f"part{delivered - 1}"))
+        bronze_store.write_bronze(lake.scan_files(spark, files), bronze)
+    for scan, path in ((lake.scan_recent_snapshots, root), (bronze_store.scan_recent_bronze, bronze)):
+        assert ids(scan(spark, path, now=NOW)) == ["p0", "p1", "p2"]
+        assert ids(scan(spark, path, now=NOW + timedelta(seconds=1))) == []
+
+
+def test_unfinished_loads_are_not_there(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    rows = lake.scan_snapshots(spark, lake.write_snapshot(posts(spark, "a"), str(tmp_path / "x"), RUN))
+    load = bronze_store.append_load(rows, bronze)
+    folder = tmp_path / "bronze" / "rows"
+    (folder / f"load={load}").rename(folder / "load=cut-off")
+    bronze_store.write_bronze(rows, str(tmp_path / "other"))
+    with pytest.raises(Exception):
+        bronze_store.scan_bronze(spark, bronze).collect()  # a finished load that is gone is an error
+    (folder / "load=cut-off").rename(folder / f"load={load}")
+    rows.write.parquet(str(folder / "load=never-finished"))
+    assert ids(bronze_store.scan_bronze(spark, bronze)) == ["a"]
+
+
+# --- documents as lines ------------------------------------------------------------------
+
+
+def test_one_document_is_read_by_several_tasks(spark, tmp_path):
+    root = str(tmp_path)
+    many = [raw_row(post_id=str(i), title=f'{i} q"u],[{{}}') for i in range(4000)]
+    lake.write_snapshot(posts(spark, "first"), root, RUN)
+    lake.write_snapshot(raw_frame(spark, many).coalesce(1), root, RUN, 1 << 30)
+    back = lake.scan_snapshots(spark, root)
+    files = lake.current_files(spark, root).collect()
+    assert len(files) == 1 and files[0]["bytes"] > 500_000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        split = lake.scan_snapshots(spark, root)
+        assert split.rdd.getNumPartitions() >= 4
+        assert all_rows(split) == all_rows(raw_frame(spark, many)) == all_rows(back)
+        assert split.where("author = 'a' AND post_id = '7'").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("damage", ["a line", "the last line", "a bracket"])
+def test_a_damaged_document_fails_the_scan(spark, tmp_path, damage):
+    root = str(tmp_path)
+    lake.write_snapshot(posts(spark, "a", "b", "c").coalesce(1), root, RUN)
+    lake.write_snapshot(posts(spark, "a", "b", "c").coalesce(1), root, RUN)
+    document = next((tmp_path / RUN).glob("_w*/part-*.txt"))
+    (document.parent / f".{document.name}.crc").unlink()
+    lines = document.read_text().split("\n")
+    if damage == "a line":
+        lines[2] = "{" + lines[2][1:].replace('"', "x", 1)
+    else:
+        lines = lines[: -2 if damage == "the last line" else -1]
+    document.write_text("\n".join(lines))
+    with pytest.raises(Exception):
+        lake.scan_snapshots(spark, root).collect()
