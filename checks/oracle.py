@@ -8,6 +8,10 @@ from pulse.functions.terms import (
     BLOCKED_TERMS, CATEGORIES, MIN_TERM_LENGTH, SUBSTRING_NEEDLES,
 )
 
+# Reports that are registered a second time, from sums per run.
+SUM_REPORTS = [
+    "overview_kpis", "tool_rankings", "active_authors", "score_box", "recent_runs", "rolling_trend",
+]
 COMMON_WORDS = {"Common Words": ["the", "and", "des", "que", "und", "of the", "is a"]}
 
 
@@ -421,4 +425,6 @@ FROM posts GROUP BY fetched_at ORDER BY fetched_at DESC LIMIT 10""")
     sql["rolling_trend_stream"] = _mentions(
         _WINDOWS + "SELECT * FROM trend WHERE window_end <= (SELECT MAX(sec) FROM timed) - 86400"
     )
+    # The same reports from sums
+    sql.update({f"sums_{name}": sql[name] for name in SUM_REPORTS})
     return sql

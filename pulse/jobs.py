@@ -6,6 +6,8 @@
     python -m pulse.jobs refresh --bronze s3a://b/bronze --tables s3a://b/tables --changed
     python -m pulse.jobs show    --tables s3a://b/tables --page overview
     python -m pulse.jobs show    --tables s3a://b/tables --page stories --source best --out s3a://b/out
+    python -m pulse.jobs rollup  --bronze s3a://b/bronze --sums s3a://b/sums
+    python -m pulse.jobs rollup  --bronze s3a://b/bronze --sums s3a://b/sums --show --days 7
     python -m pulse.jobs trend   --tables s3a://b/tables --out s3a://b/trend
     python -m pulse.jobs trend   --tables s3a://b/tables --out s3a://b/trend --state s3a://b/trend-state
 """
@@ -22,6 +24,7 @@ from pulse.plans.status import loaded_counts
 from pulse.schemas import MENTIONS_SCHEMA
 from pulse.session import build_session
 from pulse.sources import bronze as bronze_store
+from pulse.sources import rollup as sums
 from pulse.sources import snapshots as lake
 from pulse.sources import tables
 from pulse.streaming import trend as stream_trend
@@ -127,6 +130,15 @@ def main(argv=None):
     show.add_argument("--rows", type=int, help="print only so many rows of each frame")
     show.add_argument("--out", help="write the frames here as JSON lines instead")
 
+    folded = commands.add_parser("rollup")
+    folded.add_argument("--bronze", required=True)
+    folded.add_argument("--sums", required=True)
+    folded.add_argument("--show", action="store_true", help="print the reports of the sums")
+    folded.add_argument("--days", type=int, help="only runs of the last days")
+    folded.add_argument("--category", help="drill-down of this category")
+    folded.add_argument("--rows", type=int, help="print only so many rows of each frame")
+    folded.add_argument("--out", help="write the frames here as JSON lines instead")
+
     moving = commands.add_parser("trend")
     moving.add_argument("--tables", required=True)
     moving.add_argument("--out", required=True)
@@ -146,6 +158,11 @@ def main(argv=None):
             changed=args.changed,
         )
         loaded_counts(loaded.posts, loaded.mentions).show()
+    elif args.command == "rollup":
+        sums.update_rollup(spark, args.bronze, args.sums)
+        if args.show or args.out:
+            opened = sums.open_rollup(spark, args.bronze, args.sums, args.days)
+            show_frames(sums.reports(opened, args.category), args.out, args.rows)
     elif args.command == "trend":
         print(write_trend(spark, args.tables, args.out, args.state, args.stores))
     else:

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulse.functions.scalars import weekday_ordinal
-from pulse.plans.common import mean_score, most_first, row_count
+from pulse.plans.common import ROWS, most_first, row_count
 
 TOP_AUTHORS = 15
 NOT_AUTHORS = ["", "None"]
@@ -15,28 +15,28 @@ WHISKER = 1.5
 _BLOCK_BITS = 12
 
 
-def hourly_activity(posts):
+def hourly_activity(posts, measures=ROWS):
     return (
         posts.where(F.col("created_hour").isNotNull())
         .groupBy("created_hour")
-        .agg(row_count("posts"), mean_score("avg_score"))
+        .agg(measures.rows("posts"), measures.mean_score("avg_score"))
         .orderBy("created_hour")
     )
 
 
-def weekday_activity(posts):
+def weekday_activity(posts, measures=ROWS):
     return (
         posts.where(F.col("created_weekday").isNotNull() & (F.col("created_weekday") != ""))
         .groupBy("created_weekday")
-        .agg(row_count("posts"), mean_score("avg_score"))
+        .agg(measures.rows("posts"), measures.mean_score("avg_score"))
     )
 
 
-def weekday_ordered(posts):
+def weekday_ordered(posts, measures=ROWS):
     """Weekday activity from Monday to Sunday; an unknown name becomes null and last."""
     ordinal = weekday_ordinal(F.col("created_weekday"))
     return (
-        weekday_activity(posts)
+        weekday_activity(posts, measures)
         .select(
             F.when(ordinal.isNotNull(), F.col("created_weekday")).alias("created_weekday"),
             ordinal.alias("weekday_ordinal"),
@@ -47,17 +47,17 @@ def weekday_ordered(posts):
     )
 
 
-def positive_scores(posts):
-    return posts.where(F.col("score") > 0).select("source", "score")
+def positive_scores(posts, keep=()):
+    return posts.where(F.col("score") > 0).select(*keep, "source", "score")
 
 
-def active_authors(posts, limit=TOP_AUTHORS):
+def active_authors(posts, limit=TOP_AUTHORS, measures=ROWS):
     return (
         posts.where(~F.col("author").isin(NOT_AUTHORS))
         .groupBy("author")
         .agg(
-            row_count("posts"),
-            mean_score("avg_score"),
+            measures.rows("posts"),
+            measures.mean_score("avg_score"),
             F.sum("num_comments").alias("total_comments"),
         )
         .where(F.col("posts") > 1)
@@ -129,7 +129,16 @@ def score_box(posts):
     joins are null-safe so that no side gets a filter of its own and all of them read
     the counts from one exchange.
     """
-    counts = positive_scores(posts).groupBy("source", "score").agg(row_count("n"))
+    return box_of_counts(positive_scores(posts).groupBy("source", "score").agg(row_count("n")))
+
+
+def box_of_sums(scores):
+    """The same from any number of ``(source, score, n)`` per list and score."""
+    return box_of_counts(scores.groupBy("source", "score").agg(F.sum("n").alias("n")))
+
+
+def box_of_counts(counts):
+    """The same from one ``(source, score, n)`` per list and score."""
     quartiles = score_quartiles(counts).withColumnRenamed("source", "q_source")
     # one row per list
     box = counts.join(F.broadcast(quartiles), counts["source"].eqNullSafe(F.col("q_source")))

@@ -3,38 +3,38 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pulse.plans.common import mean_score, most_first, row_count
+from pulse.plans.common import ROWS, most_first
 
 
-def category_summary(mentions):
+def category_summary(mentions, measures=ROWS):
     return (
         mentions.groupBy("category")
         .agg(
-            row_count("total_mentions"),
+            measures.rows("total_mentions"),
             F.countDistinct("tool").alias("unique_tools"),
-            mean_score("avg_post_score"),
+            measures.mean_score("avg_post_score"),
         )
         .orderBy(*most_first("total_mentions", "category"))
     )
 
 
-def category_share(mentions):
+def category_share(mentions, measures=ROWS):
     """Part of all mentions per category; the window sees one row per category."""
-    totals = mentions.groupBy("category").agg(row_count("total_mentions"))
+    totals = mentions.groupBy("category").agg(measures.rows("total_mentions"))
     everything = F.sum("total_mentions").over(Window.partitionBy())
     return totals.select(
         "category", "total_mentions", (F.col("total_mentions") / everything).alias("share")
     )
 
 
-def category_list(mentions):
-    return category_summary(mentions).select("category")
+def category_list(mentions, measures=ROWS):
+    return category_summary(mentions, measures).select("category")
 
 
-def category_drilldown(mentions, category):
+def category_drilldown(mentions, category, measures=ROWS):
     return (
         mentions.where(F.col("category") == F.lit(category))
         .groupBy("tool")
-        .agg(row_count("mentions"), mean_score("avg_score"))
+        .agg(measures.rows("mentions"), measures.mean_score("avg_score"))
         .orderBy(*most_first("mentions", "tool"))
     )

@@ -3,12 +3,32 @@
 from pyspark.sql import functions as F
 
 
-def mean_score(name):
-    return F.round(F.avg("score"), 0).alias(name)
+class Measures:
+    """What a report counts, over rows of posts or mentions."""
+
+    def rows(self, name):
+        return F.count(F.lit(1)).alias(name)
+
+    def mean_score(self, name):
+        return F.round(F.avg("score"), 0).alias(name)
+
+
+class SumMeasures(Measures):
+    """The same over sums of such rows: ``n`` rows, ``scored`` of them with a score, and
+    ``score`` their sum (see ``pulse.sources.rollup``)."""
+
+    def rows(self, name):
+        return F.coalesce(F.sum("n"), F.lit(0)).alias(name)
+
+    def mean_score(self, name):
+        return F.round(F.try_divide(F.sum("score"), F.sum("scored")), 0).alias(name)
+
+
+ROWS, SUMS = Measures(), SumMeasures()
 
 
 def row_count(name):
-    return F.count(F.lit(1)).alias(name)
+    return ROWS.rows(name)
 
 
 def most_first(measure, *then):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pulse.functions.scalars import safe_int
-from pulse.plans.common import mean_score, most_first, row_count, side_by_side
+from pulse.plans.common import ROWS, SUMS, most_first, row_count, side_by_side
 
 TOP_POSTS = 10
 KPI_COUNTS = [
@@ -26,15 +26,25 @@ def overview_kpis(posts):
         F.sum("score").alias("score"),
         F.sum("mention_count").alias("mentions"),
     )
+    return _key_figures(folded, posts)
+
+
+def kpis_of_sums(authors, fetches):
+    """The key figures from the sums by list and author and by fetch time."""
+    folded = authors.withColumnRenamed("mention_count", "mentions")
+    return _key_figures(folded, fetches)
+
+
+def _key_figures(folded, fetches):
     average = F.try_divide(F.sum("score"), F.sum("scored"))
     figures = folded.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_posts"),
+        SUMS.rows("total_posts"),
         F.countDistinct("source").alias("sources"),
         F.countDistinct("author").alias("unique_authors"),
         F.round(average, 0).alias("avg_score"),
         F.sum("mentions").alias("total_tool_mentions"),
     )
-    return side_by_side(figures, posts.agg(F.max("fetched_at").alias("last_fetch")))
+    return side_by_side(figures, fetches.agg(F.max("fetched_at").alias("last_fetch")))
 
 
 def kpis_display(posts):
@@ -43,12 +53,12 @@ def kpis_display(posts):
     return overview_kpis(posts).select(*shown, "last_fetch")
 
 
-def source_activity(posts):
+def source_activity(posts, measures=ROWS):
     return (
         posts.groupBy("source")
         .agg(
-            row_count("post_count"),
-            mean_score("avg_score"),
+            measures.rows("post_count"),
+            measures.mean_score("avg_score"),
             F.sum("mention_count").alias("tool_mentions"),
         )
         .orderBy(*most_first("post_count", "source"))

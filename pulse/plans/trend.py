@@ -8,20 +8,23 @@ The same plan runs on a batch and on a stream.
 from pyspark.sql import functions as F
 
 from pulse.functions.scalars import fetched_timestamp
+from pulse.plans.common import ROWS
 
 SPAN = "7 days"
 STEP = "12 hours"
+STEP_SECONDS = 12 * 3600
 
 
-def with_fetched_time(mentions):
-    stamp = fetched_timestamp(F.col("fetched_at"))
-    return mentions.withColumn("fetched_ts", stamp).where(F.col("fetched_ts").isNotNull())
+def with_fetched_time(mentions, keep_all=False):
+    """``mentions`` with ``fetched_ts``; those without a time only if ``keep_all``."""
+    timed = mentions.withColumn("fetched_ts", fetched_timestamp(F.col("fetched_at")))
+    return timed if keep_all else timed.where(F.col("fetched_ts").isNotNull())
 
 
-def rolling_trend(timed, span=SPAN, step=STEP):
+def rolling_trend(timed, span=SPAN, step=STEP, measures=ROWS):
     """``timed`` has ``fetched_ts``, ``tool`` and ``category``; ``span`` is a multiple of ``step``."""
     per_step = timed.groupBy(F.window("fetched_ts", step).alias("step"), "tool", "category")
-    counts = per_step.agg(F.count(F.lit(1)).alias("n"))
+    counts = per_step.agg(measures.rows("n"))
     inside = F.window(F.window_time("step"), span, step).alias("span")
     windows = counts.groupBy(inside, "tool", "category").agg(F.sum("n").alias("mentions"))
     return windows.select(

@@ -62,7 +62,7 @@ def append_load(snapshots, path, files=None):
     rows = with_day(snapshots).select(*BRONZE_COLUMNS, "dt").hint("rebalance", "dt")
     rows.write.partitionBy("dt").parquet(folder)
     if files is None:
-        stored = _rows(spark, path, [load]).select("run_id", "version", "modified_at")
+        stored = rows_of_loads(spark, path, [load]).select("run_id", "version", "modified_at")
         files = stored.distinct().withColumn("path", F.lit(None).cast("string"))
     log = files.select(F.lit(load).alias("load"), "run_id", "version", "path", "modified_at")
     log.coalesce(1).write.mode("append").parquet(f"{path}/files")
@@ -75,7 +75,7 @@ def write_bronze(snapshots, path):
     return path
 
 
-def _rows(spark, path, loads):
+def rows_of_loads(spark, path, loads):
     """Rows of some loads; the folders of others are not listed."""
     if not loads:
         return spark.createDataFrame([], ROWS_SCHEMA)
@@ -83,9 +83,12 @@ def _rows(spark, path, loads):
     return reader.parquet(*[f"{path}/rows/load={load}" for load in loads])
 
 
-def newest_runs(spark, path):
-    """``run_id, version, first, last, loads``: the newest write of every run in the log."""
-    files = loaded_files(spark, path)
+def newest_runs(spark, path, files=None):
+    """``run_id, version, first, last, loads``: the newest write of every run in the log.
+
+    ``files`` are the entries of the log to look at, all by default.
+    """
+    files = loaded_files(spark, path) if files is None else files
     writes = files.groupBy("run_id", "version").agg(
         F.min("modified_at").alias("first"), F.max("modified_at").alias("last"),
         F.collect_set("load").alias("loads"),
@@ -97,7 +100,7 @@ def newest_runs(spark, path):
 def scan_runs(spark, path, runs, first=None):
     """Rows of some rows of ``newest_runs``; no row was modified before ``first``."""
     loads = runs.select(F.explode("loads").alias("load")).distinct()
-    rows = _rows(spark, path, sorted(r["load"] for r in loads.collect()))  # a few per day
+    rows = rows_of_loads(spark, path, sorted(r["load"] for r in loads.collect()))  # a few per day
     if first is not None:
         day = F.date_from_unix_date(F.floor(F.unix_seconds(F.lit(first)) / 86400).cast("int"))
         rows = rows.where((F.col("dt") >= day) & (F.col("modified_at") >= F.lit(first)))
