@@ -5,8 +5,8 @@ neighbouring word extends. Periods are searched by octaves ``[U, 2U)``. In an oc
 has a boundary at every multiple of ``U``, and the tile of boundary ``c`` are the words from
 ``c - U`` to ``c + 4U``; neighbouring tiles overlap by four fifths.
 
-* **Tiles.** A run of period ``q`` holds two neighbouring boundaries at least whose ``U``
-  words stand again ``q`` words later. Hashes of all stretches of ``U`` words, doubled from
+* **Tiles.** A run of period ``q`` holds ``floor(3 q / U) - 1`` neighbouring boundaries at least
+  whose ``U`` words stand again ``q`` words later: two, three or four. Hashes of all stretches of ``U`` words, doubled from
   octave to octave, find the boundaries where that may be so; equal stretches have equal
   hashes, so no run is lost, and texts without repeats give no tile. Neighbouring tiles of an
   octave travel as one strip of at most ``STRIP_WORDS`` words (or one tile), as numbers
@@ -77,7 +77,7 @@ def _mixed(x):
 
 def _candidates(hashes, unit):
     """Boundaries, in units, whose ``unit`` words may stand again a period of the octave
-    later, as do those of a neighbour at the same distance."""
+    later, as do those of as many neighbours as a run of that period holds."""
     rows = len(hashes) // unit
     if rows < 3:
         return np.empty(0, np.int64)
@@ -85,10 +85,18 @@ def _candidates(hashes, unit):
     again = table[:-1, :1] == table[1:, :]
     if not again.any():
         return np.empty(0, np.int64)
-    pair = (again[:-1] & again[1:]).any(axis=1)
+    # a run of period q holds (3 q - unit) / unit boundaries that match, rounded down, or more
+    hold = again.copy()
+    for part in (0, 1, 2):
+        first = -(-part * unit // 3)
+        need = again[: len(again) - 1 - part, first:].copy()
+        for k in range(1, 2 + part):
+            need &= again[k : len(again) - 1 - part + k, first:]
+        hold[:, first:] = False
+        for k in range(2 + part):
+            hold[k : k + len(need), first:] |= need
     both = np.zeros(rows, bool)
-    both[:-2] |= pair
-    both[1:-1] |= pair
+    both[:-1] = hold.any(axis=1)
     return np.flatnonzero(both)
 
 
@@ -210,6 +218,9 @@ def solve_strip(ids, unit, start, lead, count, open_end):
         cut_right = high < len(words) or open_end
         on = z_values(words[c:high], 2 * unit)
         periods = [q for q in range(unit, len(on)) if on[q] >= unit]
+        least = next((p for p in range(1, min(unit, len(on))) if p + on[p] >= 2 * unit), 0)
+        if least:  # where the words have this period too, a multiple is no smallest one
+            periods = [q for q in periods if q % least or least + on[least] < q + on[q]]
         if not periods:
             continue
         top = min(high, c + 2 * unit - 1)
@@ -265,8 +276,10 @@ def _runs(table):
     tiles = table.where("unit IS NOT NULL").select(
         "key", "unit", "start", "lead", "count", "ids", "open_end"
     )
+    # small rows with much work: not joined to few tasks by their bytes
+    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fragments = map_arrow(
-        tiles.repartition("key", "unit", "start"), _solve,
+        tiles.repartition(parts, "key", "unit", "start"), _solve,
         "key bigint, period bigint, start bigint, end bigint",
     )
     length = F.col("end") - F.col("start")
