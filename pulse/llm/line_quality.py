@@ -244,8 +244,7 @@ def keep_good(
 ):
     """The rows of ``docs`` that pass, with their columns, without lines over the limit.
 
-    Verdicts are written down before they are used: a filter on them would be pushed into
-    the counts and build their arrays once per word.
+    Verdicts are written down before they are used: the rejected rows are counted, then joined.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "verdicts")
