@@ -34,6 +34,14 @@ def row_key(*columns):
     )
 
 
+def free_name(df, name):
+    """A column name that ``df`` does not use, whatever case names are compared in."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def held(df, columns):
     """``df`` plus computed columns that no later filter is pushed into.
 

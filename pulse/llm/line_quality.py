@@ -24,7 +24,7 @@ columns beyond ``doc_id``, ``text`` and the host are not looked at.
 
 from pyspark.sql import functions as F
 
-from pulse.llm.columns import SPACES, held, row_key, text_or_empty, words_of
+from pulse.llm.columns import SPACES, free_name, held, row_key, text_or_empty, words_of
 from pulse.session import shared_folder
 
 MIN_WORDS = 50
@@ -200,17 +200,18 @@ def _clean(docs, places, host):
     folder = shared_folder(docs.sparkSession, "lines-over")
     lines = places.groupBy("key").agg(F.collect_set("line").alias("_over"))
     lines.select("key.a", "key.b", "_over").write.parquet(folder)
-    lines = docs.sparkSession.read.parquet(folder).toDF("_a", "_b", "_over")
+    a, b, over, new_text = (free_name(docs, c) for c in ("a", "b", "over", "cleaned"))
+    lines = docs.sparkSession.read.parquet(folder).toDF(a, b, over)
     if lines.count() <= FEW_LISTS:  # otherwise both sides are shuffled
         lines = F.broadcast(lines)
     key = _key(host)
-    found = docs.join(lines, (key["a"] == F.col("_a")) & (key["b"] == F.col("_b")), "left")
-    cleaned = _without_lines(text_or_empty(), F.col("_over"))
-    found = found.withColumn("_cleaned", F.when(F.col("_over").isNotNull(), cleaned))
-    text = F.coalesce("_cleaned", "text")
+    found = docs.join(lines, (key["a"] == F.col(a)) & (key["b"] == F.col(b)), "left")
+    cleaned = _without_lines(text_or_empty(), F.col(over))
+    found = found.withColumn(new_text, F.when(F.col(over).isNotNull(), cleaned))
+    text = F.coalesce(new_text, "text")
     new = {"text": text.cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
-        chars = F.when(F.col("_cleaned").isNull(), F.col("n_chars")).otherwise(F.length("_cleaned"))
+        chars = F.when(F.col(new_text).isNull(), F.col("n_chars")).otherwise(F.length(new_text))
         new["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
     return found.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
@@ -253,11 +254,10 @@ def keep_good(
     rejected = spark.read.parquet(folder).where("NOT kept").select("key.a", "key.b").distinct()
     if rejected.count() <= FEW_KEYS:  # otherwise both sides are shuffled
         rejected = F.broadcast(rejected)
-    rejected = rejected.toDF("_a", "_b")
+    a, b = free_name(docs, "a"), free_name(docs, "b")
+    rejected = rejected.toDF(a, b)
     key = _key(host)
-    kept = docs.join(
-        rejected, (key["a"] == F.col("_a")) & (key["b"] == F.col("_b")), "left_anti"
-    )
+    kept = docs.join(rejected, (key["a"] == F.col(a)) & (key["b"] == F.col(b)), "left_anti")
     return _clean(kept, places, host)
 
 

@@ -28,6 +28,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pulse.llm.arrow import bound_batches, map_arrow, record_batch
+from pulse.llm.columns import free_name
 
 SAMPLE = 20_000
 ENTRIES = 20_000
@@ -233,15 +234,17 @@ def with_score(docs, model, name="score"):
     """``docs`` plus its score, row by row."""
     weights, (constant, heaviest, total) = model
     bound_batches(docs.sparkSession)
-    scored = docs.withColumn("_features", _features(weights))
-    z = constant + heaviest * F.col("_features.heaviest") + total * F.col("_features.total")
-    return scored.withColumn(name, 1 / (1 + F.exp(-z))).drop("_features")
+    features = free_name(docs, "features")
+    scored = docs.withColumn(features, _features(weights))
+    z = constant + heaviest * F.col(features)["heaviest"] + total * F.col(features)["total"]
+    return scored.withColumn(name, 1 / (1 + F.exp(-z))).drop(features)
 
 
 def keep_clean(docs, labels):
     """The rows of ``docs`` that score below one half, with their columns."""
-    scored = with_score(docs, learn(docs, labels), "_toxic_score")
-    return scored.where("_toxic_score < 0.5").drop("_toxic_score")
+    score = free_name(docs, "toxic_score")
+    scored = with_score(docs, learn(docs, labels), score)
+    return scored.where(F.col(score) < 0.5).drop(score)
 
 
 def query(spark, sf_dir):
