@@ -4,12 +4,15 @@ A turn is written as ``<s>[INST]role[/INST]text</s>``. These control strings ins
 and texts get a backslash after their first character, and backslashes are doubled, so a
 text can never open or close a turn and is read back exactly.
 
-The running sum of the turns' tokens (from the formatted length) says which span of the
-budget a turn falls into; every span is a window. A window opens with the conversation's
-system turn, repeats up to ``HISTORY`` turns before its first new one, as far as they are
-short, and then holds its new turns. Only assistant texts among the new turns are under the
-loss mask, so each is learned once. A window holds at most ``SPAN`` tokens of new turns
-beyond its first one, plus system turn and history; single turns are never cut.
+A window holds at most ``SPAN`` tokens (from the formatted length). It opens with the
+conversation's system turn, repeats up to ``HISTORY`` turns before its first new one, as far
+as they are short, and then holds its new turns. What system turn and history may take is
+set aside first; the running sum of the turns' tokens is divided into spans of the rest, and
+a turn belongs to the span its end lies in. If the turn that reaches in from an earlier span
+does not fit beside the span's other turns, it is a window of its own. Only assistant texts
+among the new turns are under the loss mask, so each is learned once. Turns are never cut:
+more than ``SPAN`` tokens come only from a single new turn longer than what is left, or from
+a system turn of more than half of ``SPAN``, with which new turns still get a quarter.
 
 The running sum is taken in two steps, inside blocks of turns and over the block totals,
 and history is an equi-join on turn numbers: no task sorts the texts of a whole
@@ -27,9 +30,9 @@ from pyspark.sql import functions as F
 from pulse.llm.columns import text_or_empty
 from pulse.session import shared_folder
 
-SPAN = 1024  # tokens of new turns in a window
+SPAN = 1024  # tokens of a window
 HISTORY = 2
-HISTORY_TOKENS = 256  # longer turns are not repeated
+HISTORY_TOKENS = 128  # longer turns are not repeated
 CHARS_PER_TOKEN = 4
 BLOCK = 256  # turns in a block of the running sum
 CONTROL = "<s>", "</s>", "[INST]", "[/INST]"  # a turn is built of these
@@ -67,7 +70,9 @@ def _numbered(turns):
         "sum", F.coalesce(F.sum("tokens").over(before), F.lit(0))
     )
     blocks = rows.groupBy("conv_id", "block").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("tokens").alias("total")
+        F.count(F.lit(1)).alias("count"),
+        F.sum("tokens").alias("total"),
+        F.max(F.when((F.col("n") == 1) & (F.col("role") == "system"), F.col("tokens"))).alias("system"),
     )
     earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -77,17 +82,27 @@ def _numbered(turns):
         F.col("block").alias("b_block"),
         F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"),
+        F.first("system").over(Window.partitionBy("conv_id").orderBy("block")).alias("system"),
     )
     same = F.col("conv_id").eqNullSafe(F.col("b_conv")) & F.col("block").eqNullSafe(F.col("b_block"))
-    return rows.join(blocks, same).select(
+    left = SPAN - HISTORY * HISTORY_TOKENS - F.coalesce("system", F.lit(0))
+    rows = rows.join(blocks, same).select(
         "conv_id",
         (F.col("n_before") + F.col("n")).alias("n"),
         "role",
         "text",
         "formatted",
         "tokens",
-        F.floor((F.col("before") + F.col("sum")) / SPAN).alias("window"),
+        (F.col("before") + F.col("sum")).alias("start"),
+        F.greatest(left, F.lit(SPAN // 4)).alias("room"),
     )
+    rows = rows.withColumn("span", F.floor((F.col("start") + F.col("tokens") - 1) / F.col("room")))
+    # The turns of a span are few: all but one lie in its ``room`` tokens.
+    span = Window.partitionBy("conv_id", "span")
+    too_full = F.sum("tokens").over(span) > F.col("room")
+    inside = F.col("start") >= F.col("span") * F.col("room")
+    window = 2 * F.col("span") + F.when(too_full & inside, 1).otherwise(0)
+    return rows.withColumn("window", window).drop("start", "room", "span")
 
 
 def format_windows(turns):
@@ -230,18 +245,29 @@ e AS (
            + len(regexp_extract_all(role, '</?s>|\[/?INST\]'))
            + length('<s>[INST][/INST]</s>') AS chars
   FROM t),
-numbered AS (
+ordered AS (
   SELECT conv_id, role, text, chars, (chars + 3) // 4 AS tokens,
          row_number() OVER o AS n,
-         coalesce(sum((chars + 3) // 4) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-           // 1024 AS win
-  FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+         sum((chars + 3) // 4) OVER (o ROWS UNBOUNDED PRECEDING) AS upto
+  FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+rooms AS (
+  SELECT conv_id, greatest(256, 1024 - 256 - coalesce(max(tokens) FILTER (n = 1 AND role = 'system'), 0)) AS room
+  FROM ordered GROUP BY conv_id),
+spans AS (
+  SELECT ordered.*, room, CAST((upto - 1) // room AS BIGINT) AS span
+  FROM ordered JOIN rooms USING (conv_id)),
+numbered AS (
+  SELECT conv_id, role, text, chars, tokens, n,
+         span + CASE WHEN upto - tokens < span * room THEN 0
+                     WHEN sum(tokens) OVER (PARTITION BY conv_id, span) <= room THEN 0
+                     ELSE 0.5 END AS win
+  FROM spans),
 firsts AS (
   SELECT conv_id, win, min(n) AS first FROM numbered GROUP BY conv_id, win HAVING min(n) > 1),
 repeated AS (
   SELECT n.conv_id, sum(n.chars) AS chars
   FROM firsts f JOIN numbered n ON n.conv_id = f.conv_id AND n.n < f.first
-   AND ((n.n = 1 AND n.role = 'system') OR (n.n >= f.first - 2 AND n.tokens <= 256))
+   AND ((n.n = 1 AND n.role = 'system') OR (n.n >= f.first - 2 AND n.tokens <= 128))
   GROUP BY n.conv_id),
 g AS (
   SELECT conv_id, count(*) AS n_turns, sum(chars) AS chars,
