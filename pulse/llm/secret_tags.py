@@ -5,32 +5,36 @@ tokens as begin, inside or outside of a secret, from their shape and length, the
 before and after them, and features of the whole text; the best tagging is found by Viterbi.
 Its secrets are added where no pattern reported one.
 
-Only stretches around digits and key words are decoded. ``margin`` checks that for words,
-bare marks and bare numbers without a telling context no gain from transitions can outweigh
-the loss against "outside". If the trained field does not have the margin, its transitions
-are scaled down until it has. Not covered by the margin, so possibly tagged otherwise than in
-a decoding of the whole text: tokens outside the stretches in upper case, of mixed or coded
-shape, after a sign or quote, or before a mark.
+Every token of every text is scored and decoded. A token whose loss against "outside"
+outweighs all that its transitions and a restart at its neighbour could gain is outside in
+the best tagging, so Viterbi runs over the tokens between such ones only, with the same
+result as over the whole text.
 
 The field is trained here, by gradient steps on the likelihood with a prior around the
-starting weights, from stretches of about ``SAMPLE`` documents (chosen by hash over the whole table)
-whose pattern matches serve as labels.
+starting weights, on about ``PIECES`` pieces of the texts of about ``SAMPLE`` documents, both
+chosen by hash over the whole table; the pattern matches serve as labels. A third of the
+pieces holds secrets, a third holds numbers, codes or key words only, a third plain words.
 
 Defined cases: null text counts as empty; offsets are code points, ends exclusive; a table
 without any match leaves the starting weights; rows repeat their results; an empty table
 gives no rows; other columns are not looked at.
 """
 
-import math
 import re
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from pulse.llm.arrow import map_arrow, record_batch
+from pulse.llm.columns import free_name
+from pulse.session import shared_folder
 
 SAMPLE = 2000  # documents
-STRETCHES = 200  # for training
+PIECES = 240  # for training
+PIECE = 48  # tokens of a piece
+TOKENS = 200_000  # tokens scored at a time
+CHARS = 1_000_000  # characters of a long text that are split into tokens at a time
 
 # The patterns every scan must report, in this order.
 ASSIGN = re.compile(
@@ -44,12 +48,9 @@ KINDS = ("assign", "access", "hex", "crf")
 KEY_WORDS = frozenset(
     "password passwd pwd secret token key apikey api_key credential bearer auth private".split()
 )
-_KEY = re.compile("|".join(sorted(KEY_WORDS, key=len, reverse=True)), re.IGNORECASE | re.ASCII)
 _RUN = r"A-Za-z0-9+/_.\-"
 _TOKEN = re.compile(rf"[{_RUN}]+=*|[^\W\d_]+|[^\s]")
-_DIGITS = re.compile(rf"[0-9][{_RUN}=]*")
-_LETTER = re.compile(rf"[{_RUN}=]")
-LEFT, RIGHT = 60, 40  # characters of context of a stretch
+_SPACE = re.compile(r"\s")
 
 O, B, I = 0, 1, 2
 SHAPES = ("word", "upper", "number", "mixed", "hex", "coded", "mark")
@@ -147,32 +148,6 @@ def base_spans(text):
     return spans
 
 
-def stretches(text):
-    """Parts of the text around digits and key words, as (start, end), apart from each other."""
-    places = []
-    for m in _DIGITS.finditer(text):
-        start = m.start()
-        while start and _LETTER.match(text[start - 1]):
-            start -= 1
-        if m.end() - start >= LENGTHS[0]:
-            places.append((start, m.end()))
-    low = text.lower()
-    if any(k in low for k in KEY_WORDS):
-        places += [m.span() for m in _KEY.finditer(text)]
-    parts = []
-    for start, end in sorted(places):
-        start, end = max(0, start - LEFT), min(len(text), end + RIGHT)
-        while start and not text[start - 1].isspace():
-            start -= 1
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        if parts and start <= parts[-1][1]:
-            parts[-1] = (parts[-1][0], max(end, parts[-1][1]))
-        else:
-            parts.append((start, end))
-    return parts
-
-
 def _about(text):
     """Features of a whole text."""
     low = text.lower()
@@ -194,74 +169,212 @@ def viterbi(features, w, t):
     return tags[::-1]
 
 
-def margin(w, t):
-    """By how much a token without telling features is better off outside, in any context."""
-    plain = [
-        w[_INDEX["bias"]] + w[_INDEX[f"shape {s}"]] + (w[_INDEX[f"{s} of {n}"]] if n else 0) + more
-        for s, sizes in (("word", range(5)), ("mark", (0,)), ("number", (0,)))
-        for n in sizes
-        for more in (
-            np.zeros(3), w[_INDEX["text has key"]], w[_INDEX["text has much code"]],
-            w[_INDEX["text has key"]] + w[_INDEX["text has much code"]],
-        )
-    ]
-    loss = min(p[O] - p[1:].max() for p in plain)
-    gain = t.max() - np.where(t > -6, t, 0).min()
-    return loss - 2 * gain
+def _split(text):
+    """Tokens of a text in lists of bounded size; a token never spans a space."""
+    start = 0
+    while start < len(text):
+        cut = _SPACE.search(text, start + CHARS) if start + CHARS < len(text) else None
+        end = cut.start() if cut else len(text)
+        yield _TOKEN.findall(text, start, end)
+        start = end
 
 
 class Tagger:
-    """A trained field over whole texts."""
+    """A trained field over whole texts, many at a time."""
 
     def __init__(self, weights):
         self.w, self.t = (np.array(x) for x in weights)
-
-    def spans(self, text):
-        """All spans as (kind, start, end), the patterns' and the field's."""
-        base = base_spans(text)
-        spans = [s[:3] for s in base]
-        parts = stretches(text)
-        if parts:
-            about = _about(text)
-        for start, end in parts:
-            tokens = list(_TOKEN.finditer(text, start, end))
-            if not tokens:
-                continue
-            tags = viterbi(features_of([m.group() for m in tokens], *about), self.w, self.t)
+        self.known = {}  # token -> class
+        self.classes = {None: 0}  # class 0 stands between texts
+        self.emission = [np.zeros(3)]
+        self.flags = [(False,) * 6]
+        # the most that three transitions can gain, none of the new ones from O to I
+        others = np.delete(self.t.ravel(), O * 3 + I)
+        self.gain = 3 * (self.t.max() - others.min())
+
+    def _class(self, token):
+        """Number of the token's class: what scores and neighbours need to know of it."""
+        shape, size = shape_of(token)
+        low = token.lower()
+        flags = (
+            low in (":", "="), low.rstrip("=") in KEY_WORDS, low.endswith("="),
+            token in "\"'`", token in "\"'`;", True,
+        )
+        name = shape, size, flags
+        if name not in self.classes:
+            self.classes[name] = len(self.emission)
+            score = self.w[_INDEX["bias"]] + self.w[_INDEX[f"shape {shape}"]]
+            if f"{shape} of {size}" in _INDEX:
+                score = score + self.w[_INDEX[f"{shape} of {size}"]]
+            self.emission.append(score)
+            self.flags.append(flags)
+        return self.classes[name]
+
+    def _codes(self, text):
+        """Classes of a text's tokens."""
+        parts = []
+        for tokens in _split(text):
+            if len(self.known) > 400_000:
+                self.known.clear()
+            codes = list(map(self.known.get, tokens))
+            if None in codes:
+                for i, code in enumerate(codes):
+                    if code is None:
+                        code = self.known.get(tokens[i])
+                        if code is None:
+                            code = self.known[tokens[i]] = self._class(tokens[i])
+                        codes[i] = code
+            parts.append(np.array(codes, np.int32))
+        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+
+    def _scores(self, codes, about):
+        """Emissions of all tokens, with their context; ``about`` are features of the texts."""
+        flags = np.array(self.flags)
+        sign, key, ends, quote, closing, _ = (flags[:, k] for k in range(6))
+        # the two nearest tokens of the three before that are no quotes; 0 for none
+        p1, p2, p3 = (np.concatenate([np.zeros(k, np.int32), codes[: len(codes) - k]]) for k in (1, 2, 3))
+        q1, q2, q3 = quote[p1], quote[p2], quote[p3]
+        third = np.where(q3, 0, p3)
+        last = np.where(~q1, p1, np.where(~q2, p2, third))
+        second = np.where(~q1, np.where(~q2, p2, third), np.where(~q2, third, 0))
+        assigned = np.where(sign[last], key[second], key[last] & ends[last])
+        scores = np.array(self.emission)[codes]
+        for name, where in (
+            ("after key and sign", assigned),
+            ("after sign", sign[last] & ~assigned),
+            ("after key", key[last] & ~sign[last] & ~assigned),
+            ("after quote", q1),
+            ("before mark", closing[np.append(codes[1:], 0)]),
+            ("text has key", about[:, 0]),
+            ("text has much code", about[:, 1]),
+        ):
+            scores += where[:, None] * self.w[_INDEX[name]]
+        return scores
+
+    def _best(self, scores, first, last):
+        """Best tags of a run of tokens; ``first``, ``last``: whether it is at an end of its text."""
+        t = self.t.tolist()
+        begin = (0.0, 0.0, -8.0) if first else t[O]
+        at, back = [begin[y] + scores[0][y] for y in (O, B, I)], []
+        for e in scores[1:]:
+            step, new = [], []
+            for y in (O, B, I):
+                ways = [at[x] + t[x][y] for x in (O, B, I)]
+                x = ways.index(max(ways))
+                step.append(x), new.append(ways[x] + e[y])
+            back.append(step)
+            at = new
+        if not last:
+            at = [at[x] + t[x][O] for x in (O, B, I)]
+        tags = [at.index(max(at))]
+        for step in reversed(back):
+            tags.append(step[tags[-1]])
+        return tags[::-1]
+
+    def _found(self, codes, about):
+        """Secrets as (first token, token after the last), over all texts in ``codes``."""
+        scores = self._scores(codes, about)
+        loss = scores[:, O] - scores[:, 1:].max(axis=1)
+        after = np.append(scores[1:, I] - scores[1:, B], 0.0)
+        open_tokens = np.flatnonzero((loss <= self.gain + np.maximum(after, 0) + 1e-6) & (codes > 0))
+        if not len(open_tokens):
+            return []
+        found = []
+        for run in np.split(open_tokens, np.flatnonzero(np.diff(open_tokens) > 1) + 1):
+            start, end = int(run[0]), int(run[-1]) + 1
+            tags = self._best(scores[start:end].tolist(), codes[start - 1] == 0, codes[end] == 0)
             i = 0
             while i < len(tags):
-                if tags[i] == O:
-                    i += 1
-                    continue
                 j = i + 1
-                while j < len(tags) and tags[j] == I:
-                    j += 1
-                a, b = tokens[i].start(), tokens[j - 1].end()
-                if not any(a < s[2] and s[1] < b for s in base):
-                    spans.append((3, a, b))
+                if tags[i] != O:
+                    while j < len(tags) and tags[j] == I:
+                        j += 1
+                    found.append((start + i, start + j))
                 i = j
-        return sorted(spans, key=lambda s: (s[1], s[0], s[2]))
-
-
-def training_stretches(texts):
-    """Stretches with tags from the patterns, those with secrets first."""
-    found = []
-    for text in texts:
-        base = base_spans(text)
-        about = _about(text)
-        for start, end in stretches(text):
-            tokens = list(_TOKEN.finditer(text, start, end))
-            tags = []
-            for m in tokens:
-                inside = [s for s in base if s[3] < m.end() and m.start() < s[2]]
-                if not inside:
-                    tags.append(O)
-                else:
-                    tags.append(I if tags and tags[-1] != O and m.start() > inside[0][3] else B)
-            if tokens:
-                found.append((features_of([m.group() for m in tokens], *about), tags))
-    found.sort(key=lambda x: not any(x[1]))
-    return found[:STRETCHES]
+        return found
+
+    def tagged(self, texts):
+        """Per text the field's secrets, as (first token, token after the last)."""
+        out = [[] for _ in texts]
+        codes, about, owners, size = [], [], [], 0
+
+        def flush():
+            nonlocal size
+            if owners:
+                between = np.zeros(3, np.int32)
+                starts, parts, marks, at = [], [], [], 0
+                for c, a in zip(codes, about):
+                    starts.append(at + 3)
+                    parts += [between, c]
+                    marks.append(np.broadcast_to(np.array(a), (len(c) + 3, 2)))
+                    at += len(c) + 3
+                parts.append(between)
+                marks.append(np.zeros((3, 2), bool))
+                for a, b in self._found(np.concatenate(parts), np.concatenate(marks)):
+                    k = bisect_right(starts, a) - 1
+                    out[owners[k]].append((a - starts[k], b - starts[k]))
+            codes.clear(), about.clear(), owners.clear()
+            size = 0
+
+        for n, text in enumerate(texts):
+            if text:
+                codes.append(self._codes(text)), about.append(_about(text)), owners.append(n)
+                size += len(codes[-1])
+                if size > TOKENS:
+                    flush()
+        flush()
+        return out
+
+    def spans_of(self, texts):
+        """Per text all spans as (kind, start, end), the patterns' and the field's."""
+        out = []
+        for text, secrets in zip(texts, self.tagged(texts)):
+            text = text or ""
+            base = base_spans(text)
+            spans = [s[:3] for s in base]
+            if secrets:
+                wanted = {k for a, b in secrets for k in (a, b - 1)}
+                places = {k: m.span() for k, m in enumerate(_TOKEN.finditer(text)) if k in wanted}
+                for a, b in secrets:
+                    start, end = places[a][0], places[b - 1][1]
+                    if not any(start < s[2] and s[1] < end for s in base):
+                        spans.append((3, start, end))
+            out.append(sorted(spans, key=lambda s: (s[1], s[0], s[2])))
+        return out
+
+    def spans(self, text):
+        return self.spans_of([text])[0]
+
+
+def training_pieces(text):
+    """Pieces of a text as (class, features, tags); tags come from the patterns.
+
+    Class 2 holds a secret, class 1 a number, code or key word but no secret, class 0 neither.
+    """
+    base, about = base_spans(text), _about(text)
+    matches = list(_TOKEN.finditer(text))
+    tokens = [m.group() for m in matches]
+    tags, at = [], 0
+    base.sort(key=lambda s: s[2])
+    for m in matches:
+        while at < len(base) and base[at][2] <= m.start():
+            at += 1
+        inside = [s for s in base[at : at + 4] if s[3] < m.end() and m.start() < s[2]]
+        if not inside:
+            tags.append(O)
+        else:
+            tags.append(I if tags and tags[-1] != O and m.start() > inside[0][3] else B)
+    for start in range(0, len(tokens), PIECE):
+        end = min(start + PIECE, len(tokens))
+        before = min(start, 3)
+        features = features_of(tokens[start - before : end + 1], *about)[before:][: end - start]
+        if any(tags[start:end]):
+            kind = 2
+        else:
+            kind = int(any(
+                t.lower() in KEY_WORDS or shape_of(t)[0] not in ("word", "mark") for t in tokens[start:end]
+            ))
+        yield kind, features, tags[start:end]
 
 
 def train(examples, rounds=40, rate=0.1, hold=0.01):
@@ -299,44 +412,52 @@ def train(examples, rounds=40, rate=0.1, hold=0.01):
         w += rate * grad_w / np.sqrt(size_w + 1e-8)
         t += rate * grad_t / np.sqrt(size_t + 1e-8)
     t[O, I] = -8.0
-    while margin(w, t) <= 0 and np.abs(t).max() > 1e-3:
-        t = np.where(t > -6, t * 0.8, t)
-        w[_INDEX["bias"], 1:] -= 0.2
     return w, t
 
 
+def _share(wanted, of):
+    """Condition that keeps about ``wanted`` of ``of`` rows by a hash that all columns enter."""
+    share = min(1.0, wanted / of) if of else 0.0
+    return lambda *columns: F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(share * (1 << 40))
+
+
 def learn(docs, sample=SAMPLE):
-    """Weights from about ``sample`` documents: their ids are few, their texts are read by id."""
-    rows = docs.select("doc_id").where("doc_id IS NOT NULL")
-    ids = [
-        r[0] for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
-    ]
-    if not ids:
-        return starting_weights()
-    chosen = docs.where(F.col("doc_id").isin(ids)).select("doc_id", F.col("text").cast("string").alias("text"))
-    cut = map_arrow(chosen, _training_parts, "doc_id bigint, part int, text string, has_key boolean, code boolean")
-    rows = cut.orderBy("doc_id", "part").limit(2 * sample).collect()
-    return train(training_stretches([r["text"] for r in rows]))
+    """Weights from the pieces of about ``sample`` documents, chosen by hash.
+
+    The pieces are written down; the driver gets about ``PIECES`` of them.
+    """
+    spark = docs.sparkSession
+    rows = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    chosen = rows.where(_share(sample, rows.count())("doc_id"))
+    pieces = map_arrow(
+        chosen, _training_parts,
+        "doc_id bigint, part int, kind int, features array<array<int>>, tags array<int>",
+    )
+    folder = shared_folder(spark, "pieces")
+    pieces.write.parquet(folder)
+    pieces = spark.read.parquet(folder)
+    taken = F.lit(False)
+    for kind, n in pieces.groupBy("kind").count().collect():
+        taken = taken | ((F.col("kind") == kind) & _share(PIECES // 3, n)("doc_id", "part"))
+    examples = pieces.where(taken).select("doc_id", "part", "features", "tags").collect()
+    examples.sort(key=lambda r: (r["doc_id"], r["part"], r["tags"]))
+    return train([(r["features"], r["tags"]) for r in examples])
 
 
 def _training_parts(batches, schema):
-    """The stretches of the sample's texts, so that no whole text goes to the driver."""
     for batch in batches:
-        out = [[], [], [], [], []]
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            about = _about(text or "")
-            for n, (start, end) in enumerate(stretches(text or "")):
-                if end - start <= 2000:
-                    for column, value in zip(out, (i, n, text[start:end], *about)):
-                        column.append(value)
-        yield record_batch(schema, out)
+            rows = [(i, part, *piece) for part, piece in enumerate(training_pieces(text or ""))]
+            yield record_batch(schema, [list(c) for c in zip(*rows)] if rows else [[]] * 5)
 
 
 def _tag(weights):
     def run(batches, schema):
         tagger = Tagger(weights)
         for batch in batches:
-            spans = [tagger.spans(t or "") for t in batch.column(1).to_pylist()]
+            spans = tagger.spans_of(batch.column(1).to_pylist())
             yield record_batch(
                 schema,
                 [
@@ -376,10 +497,11 @@ def mask_secrets(docs, weights=None, mark="[SECRET]"):
     def masked(texts: pd.Series) -> pd.Series:
         tagger = Tagger(plain)
         out = []
-        for text in texts:
+        texts = texts.tolist()
+        for text, spans in zip(texts, tagger.spans_of(texts)):
             if text:
                 parts, at = [], 0
-                for _, a, b in tagger.spans(text):
+                for _, a, b in spans:
                     if a >= at:
                         parts += [text[at:a], mark]
                     at = max(at, b)
@@ -389,8 +511,9 @@ def mask_secrets(docs, weights=None, mark="[SECRET]"):
 
     bound_batches(docs.sparkSession)
     names = docs.columns
-    found = docs.withColumn("_masked", masked(F.col("text").cast("string")))
-    new = {"text": F.col("_masked"), "n_chars": F.length("_masked").cast("long")}
+    mask = free_name(docs, "masked")
+    found = docs.withColumn(mask, masked(F.col("text").cast("string")))
+    new = {"text": F.col(mask), "n_chars": F.length(mask).cast("long")}
     return found.select(*[new.get(c, F.col(c)).alias(c) for c in names])
 
 
