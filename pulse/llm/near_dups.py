@@ -6,12 +6,17 @@
 2. In every band the rows with one key are a bucket. Each member is paired with the member
    that meets most others over all its bands, which in a group of near copies is the text
    they were made from; the pairs are confirmed and joined into components.
-3. Buckets that still hold several components pair the members outside the largest one
-   with the members of other components, and these pairs are confirmed too. After that
-   every pair of a bucket is confirmed, refused, or inside one component, so no link between
-   two components is missing. A group of near copies costs its size, not its square.
-4. Before texts are read, a pair must agree in enough positions of the signature (one byte
-   each); the bound lies more than six standard deviations below the asked similarity.
+3. Buckets that still hold several components compare the members outside the largest one
+   with the members of other components, by signature and then by their shingle hashes, in
+   the join itself: only likely links become rows, and these are confirmed too. After that
+   every pair of a bucket is confirmed, refused, or inside one component. A group of near
+   copies costs its size; members of a group that are below the asked similarity to most
+   others are compared with the whole bucket, in slices, but make no rows.
+4. Before texts are read, a pair must agree in enough positions of the signature (two bits
+   each); the bound lies five standard deviations below the asked similarity, so it loses
+   about 1 link in 3 million at exactly that similarity. Texts of up to 512 shingles are
+   compared by all their hashes, which loses none; longer ones by the 512 smallest hashes
+   with a bound of five deviations again.
    Pairs that pass are confirmed on the full sets of shingles, from the texts.
 
 With 50 bands of 6 positions a link at similarity 0.8 shares no band in 1 of 4 million
@@ -31,6 +36,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pulse.llm.arrow import map_arrow, record_batch
+from pulse.llm.columns import free_name
 from pulse.llm.components import smallest_reachable
 from pulse.session import shared_folder
 
@@ -38,6 +44,8 @@ BANDS, ROWS = 50, 6
 POSITIONS = BANDS * ROWS
 COMPARED = 288  # positions compared before texts are read, 32 to a long
 DEVIATIONS = 5
+SAMPLED = 512  # shingle hashes of a text that buckets compare
+SLICE = 1_000_000  # comparisons of a bucket that are left to one slice
 FEW_IDS = 1_000_000  # ids up to which the texts' rows are chosen by a broadcast
 
 _M64 = (1 << 64) - 1
@@ -211,6 +219,56 @@ def may_link(x, y, percent):
     )
 
 
+def _sample(n):
+    """Arrow function: doc_id, text -> doc_id, the smallest ``SAMPLED`` shingle hashes."""
+
+    def run(batches, schema):
+        known = {}
+        for batch in batches:
+            out = [[], []]
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if len(known) > 400_000:
+                    known.clear()
+                hashes = shingle_hashes(words_of(text), n, known)[:SAMPLED]
+                out[0].append(i), out[1].append(hashes.view(np.int64).tolist())
+            yield record_batch(schema, out)
+
+    return run
+
+
+def shingle_samples(docs, ids, n):
+    """``id, sample`` of the texts named: all hashes of a text's shingles, or the smallest."""
+    sampled = map_arrow(_texts(docs, ids), _sample(n), "id bigint, hashes array<bigint>")
+    full = F.size("hashes") >= SAMPLED
+    # hashes are unsigned: order them as such for the largest one
+    flipped = F.transform("hashes", lambda h: h.bitwiseXOR(F.lit(-(1 << 63))))
+    last = F.when(full, F.array_max(flipped)).otherwise(F.lit((1 << 63) - 1))
+    return _written(
+        sampled.select("id", F.struct(flipped.alias("hashes"), last.alias("last")).alias("sample")),
+        "samples",
+    )
+
+
+def samples_link(x, y, percent):
+    """Condition on two member structs: their shingle hashes allow a link.
+
+    Up to the smaller of the two last hashes both samples are whole. Where both hold all
+    hashes, this leaves out no link: a shingle hidden by a collision is counted as shared.
+    Longer texts are compared on at least ``SAMPLED`` hashes of the union.
+    """
+    p = percent / 100
+    last = F.least(f"{x}.sample.last", f"{y}.sample.last")
+    hashes = F.col(f"{x}.sample.hashes"), F.col(f"{y}.sample.hashes")
+    shared = F.size(F.array_intersect(*hashes))
+    whole = last == (1 << 63) - 1
+    most = shared + F.col(f"{x}.n_shingles") - F.size(hashes[0])
+    exact = 100 * most >= percent * (F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles") - most)
+    seen = [F.size(F.filter(h, lambda v: v <= last)) for h in hashes]
+    union = seen[0] + seen[1] - shared
+    near = shared >= p * union - DEVIATIONS * F.sqrt(p * (1 - p) * union)
+    return F.when(whole, exact).otherwise(near)
+
+
 def _confirm(n, percent):
     """Arrow function: pairs with texts -> pairs linked on their full shingle sets."""
 
@@ -231,18 +289,23 @@ def _confirm(n, percent):
     return run
 
 
+def _texts(docs, ids):
+    """``rep, t`` of the rows whose ids are in ``ids`` (one column, repeats allowed)."""
+    ids = _written(ids.distinct(), "ids")
+    if ids.count() <= FEW_IDS:  # otherwise both sides are shuffled
+        ids = F.broadcast(ids)
+    return (
+        docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("t"))
+        .join(ids, "rep", "left_semi")
+        .dropDuplicates(["rep"])
+    )
+
+
 def confirmed(pairs, docs, n, percent):
     """The pairs ``a, b`` that are links."""
     spark = docs.sparkSession
     pairs = _written(pairs, "pairs")
-    members = _written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ids")
-    if members.count() <= FEW_IDS:  # otherwise both sides are shuffled
-        members = F.broadcast(members)
-    texts = (
-        docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("t"))
-        .join(members, "rep", "left_semi")
-        .dropDuplicates(["rep"])
-    )
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")))
     with_texts = (
         pairs.join(texts.toDF("b", "text_b"), "b")
         .join(texts.toDF("a", "text_a"), "a")
@@ -306,17 +369,37 @@ def components(docs, n=5, percent=80):
     counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
     mixed = (
         counts.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "c")).alias("big"))
+        .agg(
+            F.count(F.lit(1)).alias("parts"),
+            F.max(F.struct("size", "c")).alias("big"),
+            F.sum("size").alias("all"),
+        )
         .where("parts > 1")
-        .select("key", F.col("big.c").alias("largest"))
+        .select(
+            "key",
+            F.col("big.c").alias("largest"),
+            F.ceil((F.col("all") - F.col("big.size")) * F.col("all") / SLICE).alias("slices"),
+        )
+    )
+    placed = _written(placed.join(mixed, "key"), "mixed")
+    samples = shingle_samples(docs, placed.select("x.rep"), n)
+    placed = placed.join(samples, F.col("x.rep") == F.col("id")).withColumn(
+        "x", F.struct("x.rep", "x.n_shingles", "x.bits", "sample")
+    )
+    # A large bucket is dealt out: its left side in slices, its right side to every slice.
+    left = placed.where("c != largest").select(
+        "key", F.pmod(F.xxhash64("x.rep"), "slices").alias("slice"), "x", "c"
+    )
+    right = placed.select(
+        "key",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"),
+        F.col("x").alias("y"),
+        F.col("c").alias("d"),
     )
-    placed = placed.join(mixed, "key")
-    left = placed.where("c != largest").select("key", "x", "c")
-    right = placed.select("key", F.col("x").alias("y"), F.col("c").alias("d"))
     across = (
-        left.join(right, "key")
+        left.join(right, ["key", "slice"])
         .where("c != d")
-        .where(may_link("x", "y", percent))
+        .where(may_link("x", "y", percent) & samples_link("x", "y", percent))
         .select(
             F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
         )
@@ -341,10 +424,11 @@ def keep_one(docs, n=5, percent=80):
     Rows without ``doc_id`` and rows that share the id of a kept one stay.
     """
     others = components(docs, n, percent).where("doc_id != component_id")
-    others = _written(others.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    gone = free_name(docs, "gone")
+    others = _written(others.select(F.col("doc_id").alias(gone)).distinct(), "gone")
     if others.count() <= FEW_IDS:  # otherwise both sides are shuffled
         others = F.broadcast(others)
-    return docs.join(others, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(others, F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def query(spark, sf_dir):
