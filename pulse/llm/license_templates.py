@@ -4,7 +4,8 @@ A template is the wording of a license or notice. ``<<optional>> ... <</optional
 left out; ``<<var a-b>>`` stands for ``a`` to ``b`` words of any kind. Everything else is
 mandatory and must stand there word for word, after folding case and punctuation. Each
 template becomes an automaton over words; it is tried where a word stands that can open it,
-and the longest accepted stretch counts. Texts without any of a template's rare words skip it.
+and the longest accepted stretch counts. A text without a template's rare word skips it. The
+templates are those of ``license_wordings``; a scan takes others as a parameter.
 
 Base phrases are found wherever their words stand in a row; template matches are added.
 
@@ -18,6 +19,7 @@ import re
 from pyspark.sql import functions as F
 
 from pulse.llm.arrow import map_arrow, record_batch
+from pulse.llm.license_wordings import TEMPLATES
 
 # Phrases every scan must report, and their labels.
 BASE_PHRASES = {
@@ -26,45 +28,6 @@ BASE_PHRASES = {
     "all rights reserved": "reserved",
 }
 
-_OPEN = "<<optional>> this work is <</optional>>"
-_TERMS = "<<optional>> the terms of <</optional>>"
-# label, rare words of which one must occur, wording
-TEMPLATES = (
-    ("apache-2.0", "apache", "licensed under the Apache License, Version 2.0"
-     " <<optional>> (the License); you may not use this file except in compliance with the License"
-     " <<optional>> . You may obtain a copy of the License at <<var 1-12>> <</optional>>"
-     " <</optional>>"),
-    ("mit", "mit", "<<optional>> this <<var 1-2>> is <</optional>> released under " + _TERMS
-     + " the MIT License"),
-    ("mit", "mit", _OPEN + " licensed under " + _TERMS + " the MIT License"),
-    ("mit", "granted", "Permission is hereby granted, free of charge, to any person obtaining a copy"
-     " of <<var 1-8>> and associated documentation files (the <<var 1-2>>), to deal in <<var 1-2>>"
-     " without restriction, including without limitation the rights to use, copy, modify, merge,"
-     " publish, distribute, sublicense, and/or sell copies of <<var 1-2>>, and to permit persons to"
-     " whom <<var 1-2>> is furnished to do so, subject to the following conditions"),
-    ("isc", "granted", "Permission to use, copy, modify, and <<optional>> / or <</optional>>"
-     " distribute this software for any purpose with or without fee is hereby granted, provided that"
-     " the above copyright notice and this permission notice appear in all copies"),
-    ("bsd", "redistribution", "Redistribution and use in source and binary forms, with or without"
-     " modification, are permitted provided that the following conditions are met"),
-    ("gpl-2.0", "gnu", _OPEN + " licensed under " + _TERMS + " the GNU General Public License,"
-     " version 2 <<optional>> or <<optional>> (at your option) <</optional>> any later version"
-     " <</optional>>"),
-    ("gpl-3.0", "gnu", _OPEN + " licensed under " + _TERMS + " the GNU General Public License,"
-     " version 3 <<optional>> or <<optional>> (at your option) <</optional>> any later version"
-     " <</optional>>"),
-    ("cc-by-4.0", "cc", _OPEN + " licensed under <<optional>> a <</optional>> CC BY 4.0"
-     " <<optional>> license <</optional>>"),
-    ("cc-by-sa-4.0", "cc", _OPEN + " licensed under <<optional>> a <</optional>> CC BY-SA 4.0"
-     " <<optional>> license <</optional>>"),
-    ("cc-by-nc-4.0", "cc", _OPEN + " licensed under <<optional>> a <</optional>> CC BY-NC 4.0"
-     " <<optional>> license <</optional>>"),
-    ("cc-by-4.0", "creative", _OPEN + " licensed under <<optional>> a <</optional>>"
-     " Creative Commons Attribution 4.0 International License"),
-    ("copyright", "copyright", "Copyright <<optional>> (c) <</optional>> <<var 1-10>>"
-     " All rights reserved"),
-)
-
 _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 32
     for c in range(256)

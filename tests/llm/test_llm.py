@@ -285,6 +285,133 @@ def test_templates_need_their_mandatory_words():
     assert scanner.scan(b"licensed under the GNU Lesser General Public License, version 3")[2] == []
 
 
+def expand(wording, rng):
+    """A text that the template must accept, and whether each of its words is mandatory."""
+    import re
+
+    parts = re.split(r"(<<.*?>>)", wording)
+    text, dropped, depth = [], 0, 0
+    for part in parts:
+        if part == "<<optional>>":
+            depth += 1
+            dropped += 1 if dropped else rng.random() < 0.5
+        elif part == "<</optional>>":
+            depth -= 1
+            dropped = max(0, dropped - 1)
+        elif dropped:
+            continue
+        elif part.startswith("<<var"):
+            low, high = map(int, part[6:-2].split("-"))
+            text += [(f"v{rng.randrange(9)}", False) for _ in range(rng.randint(low, high))]
+        else:
+            folded = license_templates.words_of(part.encode())
+            text += [(w.decode(), depth == 0) for w in folded]
+    assert depth == 0
+    return text
+
+
+def pattern_of(wording):
+    """The template as a pattern over words that each begin with a space."""
+    import re
+
+    out = ""
+    for part in re.split(r"(<<.*?>>)", wording):
+        if part == "<<optional>>":
+            out += "(?:"
+        elif part == "<</optional>>":
+            out += ")?"
+        elif part.startswith("<<var"):
+            out += r"(?: [^ ]+){%s}" % part[6:-2].replace("-", ",")
+        else:
+            out += "".join(" " + w.decode() for w in license_templates.words_of(part.encode()))
+    return re.compile(out)
+
+
+def test_every_template_takes_its_wording_and_no_other():
+    rng = random.Random(11)
+    assert len({w for _, _, w in license_templates.TEMPLATES}) == len(license_templates.TEMPLATES)
+    for label, rare, wording in license_templates.TEMPLATES:
+        automaton, pattern = license_templates.Automaton(wording), pattern_of(wording)
+        scanner = license_templates.Scanner()
+        for _ in range(4):
+            text = expand(wording, rng)
+            words = [w for w, _ in text]
+            assert rare in words
+            assert pattern.fullmatch(" " + " ".join(words)), label
+            assert automaton.longest([w.encode() for w in words], 0) == len(words)
+            found = scanner.scan(" ".join(["so", *words, "it"]).encode())[2]
+            assert any((n, a) == (label, 1) and e >= len(words) for n, a, e in found), label
+            i = rng.choice([i for i, (_, mandatory) in enumerate(text) if mandatory])
+            for changed in (words[:i] + words[i + 1 :], words[:i] + ["other"] + words[i + 1 :]):
+                end = automaton.longest([w.encode() for w in changed], 0)
+                ends = [
+                    j for j in range(len(changed) + 1)
+                    if pattern.fullmatch("".join(" " + w for w in changed[:j]))
+                ]
+                assert end == (ends[-1] if ends else None), (label, changed)
+                if not wording.startswith("<<optional"):
+                    assert end is None or (end < i and not text[end][1]), (label, changed)
+
+
+MIT_TEXT = """
+ * Permission is hereby granted, free of charge, to any person obtaining a copy of this
+ * software and associated documentation files (the "Software"), to deal in the Software
+ * without restriction, including without limitation the rights to use, copy, modify, merge,
+ * publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons
+ * to whom the Software is furnished to do so, subject to the following conditions:
+ *
+ * The above copyright notice and this permission notice shall be included in all copies or
+ * substantial portions of the Software.
+ *
+ * THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+ * INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+ * PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+ * FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+ * OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+ * DEALINGS IN THE SOFTWARE.
+"""
+GNU_TEXT = """
+# This program is free software: you can redistribute it and/or modify it under the terms of
+# the GNU {0}General Public License as published by the Free Software Foundation, either
+# version {1} of the License, or (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+# without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+# See the GNU {0}General Public License for more details.
+"""
+
+
+def test_whole_licenses_and_openings():
+    scanner = license_templates.Scanner()
+    labels = lambda text: {x for x, _, _ in scanner.scan(text.encode())[2]}
+    assert labels(MIT_TEXT) == {"mit", "mit-opening"}
+    assert labels(MIT_TEXT.replace("FREE OF CHARGE", "x").replace("all copies", "no copies")) == {"mit-opening"}
+    assert labels(MIT_TEXT.replace("TORT OR\n * OTHERWISE", "TORT")) == {"mit-opening"}
+    opening = (
+        "Redistribution and use in source and binary forms, with or without modification, are"
+        " permitted provided that the following conditions are met: no commercial use is ever allowed"
+    )
+    assert labels(opening) == {"bsd-opening"}
+    for kind, version, label in (
+        ("", "2", "gpl-2.0"), ("", "3", "gpl-3.0"), ("Lesser ", "2.1", "lgpl-2.1"), ("Affero ", "3", "agpl-3.0"),
+    ):
+        text = GNU_TEXT.format(kind, version)
+        assert labels(text) == {label, label + "-opening"}
+        assert labels(text.replace("WITHOUT ANY", "with a")) == {label + "-opening"}
+        assert labels(text.replace("can redistribute", "may not redistribute")) == set()
+    assert labels("Licensed under the Creative Commons Attribution-NonCommercial 4.0 International"
+                  " License") == {"cc-by-nc-4.0"}
+    assert labels("licensed under a CC BY-SA 3.0 license") == {"cc-by-sa-3.0"}
+
+
+def test_licenses_of_odd_and_empty_tables(spark, odd, none):
+    assert license_templates.scan_licenses(none).count() == 0
+    rows = {(r.doc_id, r.n_words, str(r.base), str(r.found)) for r in license_templates.scan_licenses(odd).collect()}
+    assert len(rows) == odd.distinct().count()
+    empty = [r for r in rows if r[0] == 0]
+    assert empty == [(0, 0, "[]", "[]")]
+
+
 # --- 5, 7, 10: tokens --------------------------------------------------------------------
 
 TRICKY = [
@@ -303,6 +430,17 @@ def test_pieces_equal_the_library(real, name, spaced):
         assert np.frombuffer(encoder.text(text.encode()), "<u4").tolist() == e.ids, text
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_lines_and_tails_equal_the_library(name, spaced):
+    encoder = pieces.PieceEncoder(public_tokenizers.path(name), "<u4", spaced)
+    parts = list("abé漢'\n\n\n\t\r\x0b\x1c\x85\u3000\xa0 .,&*-#=<>½7²ǅʰ")
+    parts += [" the", ".\nDe", "it's", "\u0338", "e\u0301", "\n\n", "word", "***", " a"]
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(10_000)]
+    for text, e in zip(texts, encoder.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.text(text.encode()), "<u4").tolist() == e.ids, text
+
+
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_added_tokens_equal_a_fresh_library(name, spaced):
     from tokenizers import Tokenizer
