@@ -4,14 +4,18 @@ A byte-level pre-tokenizer of the usual pattern always begins a new match at a s
 is followed by something that is no white space, whatever stands before it. Texts may thus
 be cut before every such space and the pieces encoded on their own. Most pieces of a text
 have been seen before, so their ids come from bounded tables, one of pieces and one of
-pre-tokens; the rest goes through the tokenizer's own model.
+pre-tokens; the rest goes through the tokenizer's own model. A piece of lines that neither
+begin nor end with white space falls into its lines, and a line of letters with a tail of
+ASCII signs into two pre-tokens, without the pattern.
 
 The file's added tokens are matched first, as the library does: a text is split at them,
 longest first at each place, and what lies between is encoded as texts of their own.
 """
 
+import codecs
 import os
 import re
+import string
 
 import numpy as np
 
@@ -44,10 +48,11 @@ def cut(text):
 
 
 def _byte_letters():
-    """The letter a byte-level vocabulary writes for each byte, as a translation table."""
+    """The letter a byte-level vocabulary writes for each byte, byte by byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in plain]
-    return {b: chr(256 + i) for i, b in enumerate(others)}
+    letters = {b: chr(256 + i) for i, b in enumerate(others)}
+    return "".join([letters.get(b, chr(b)) for b in range(256)])
 
 
 class PieceEncoder:
@@ -65,6 +70,7 @@ class PieceEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype, self.spaced = np.dtype(dtype), spaced
         self.letters = _byte_letters()
+        self.newline = self.letters[ord("\n")]
         self.packed = [np.array(i, self.dtype).tobytes() for i in range(self.vocabulary)]
         self.model = self.tokenizer.model
         self.normalizer = self.tokenizer.normalizer
@@ -97,15 +103,25 @@ class PieceEncoder:
     def _piece(self, piece, lead):
         """Ids of one piece. Plain words need no pattern; all others are split by the library."""
         text = piece.decode("utf-8")
-        plain = text.isascii()
         if self.normalizer is not None:
-            text = text.lower() if plain else self.normalizer.normalize_str(text)
-        core = text.rstrip(".,")
+            text = text.lower() if text.isascii() else self.normalizer.normalize_str(text)
+        elif "\n" in text:
+            lines = text.split("\n")
+            if all([x and not (x[0].isspace() or x[-1].isspace()) for x in lines]):
+                ids = [self._line(lines[0], lead)]
+                for line in lines[1:]:
+                    ids += self._word(self.newline), self._line(line, "")
+                return b"".join(ids)
+        return self._line(text, lead)
+
+    def _line(self, text, lead):
+        """Ids of a piece, or of a line of one, as a normalised text."""
+        core = text if text.isalpha() else text.rstrip(string.punctuation)
         if core.isalpha():
-            if plain:
+            if core.isascii():
                 word = ("\u0120" + core) if lead else core
             else:
-                word = (lead.encode() + core.encode()).decode("latin-1").translate(self.letters)
+                word = codecs.charmap_decode((lead + core).encode(), "strict", self.letters)[0]
             if len(core) == len(text):
                 return self._word(word)
             return self._word(word) + self._word(text[len(core) :])
