@@ -145,6 +145,19 @@ def test_secrets_equal_plain_decoding(real, monkeypatch):
                 assert [s[1:] for s in spans if s[0] == 3] == plain_decoding(text, weights)
 
 
+def test_equal_taggings_take_one_secret_of_a_defined_place():
+    w, t = secret_tags.starting_weights()
+    w = w + np.random.default_rng(4).normal(0, 0.1, w.shape)  # sums that rounding would tell apart
+    t[secret_tags.B, secret_tags.B] = t[secret_tags.B, secret_tags.I] = -20.0
+    w[secret_tags._INDEX["coded of 4"], secret_tags.B] = 9.0
+    code = "9fK2/mQ7xZ81LpW4vTn3RabcdEFGH12345"
+    for before in range(40):
+        text = " ".join(["word"] * before + [code, code, "end"])
+        first = len(text) - len("end") - 2 * (len(code) + 1)
+        found = [s[1:] for s in secret_tags.Tagger((w, t)).spans(text) if s[0] == 3]
+        assert found == plain_decoding(text, (w, t)) == [(first, first + len(code))]
+
+
 def test_training_finds_what_patterns_find(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     weights = secret_tags.learn(docs)
