@@ -260,22 +260,31 @@ def _array_documents(rows, keys, size):
     schema = lines.schema
 
     def join_lines(batches):
+        import io
+        import struct
+
         import pyarrow as pa
 
-        key, held, total = None, [], 0
+        # a task holds the bytes of its document once: a list of lines, their join and Arrow's
+        # copy would be several times that
+        key, held, total = None, None, 0
 
         def document():
-            columns = [*[[k] for k in key], ["[\n" + ",\n".join(held) + "\n]"]]
-            arrays = [pa.array(c, pa.string()) for c in columns]
+            held.write(b"\n]")
+            ends = pa.py_buffer(struct.pack("=ii", 0, held.tell()))
+            text = pa.Array.from_buffers(pa.string(), 1, [None, ends, pa.py_buffer(held.getbuffer())])
+            arrays = [*[pa.array([k], pa.string()) for k in key], text]
             return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
         for batch in batches:
             for *at, line in zip(*[c.to_pylist() for c in batch.columns]):
                 if held and (at != key or total + len(line) > size):
                     yield document()
-                    held, total = [], 0
-                key = at
-                held.append(line)
+                    held = None
+                if held is None:
+                    key, held, total = at, io.BytesIO(), 0
+                held.write(b",\n" if held.tell() else b"[\n")
+                held.write(line.encode())
                 total += len(line)
         if held:
             yield document()
