@@ -273,13 +273,18 @@ def _loaded_counts(spark, sf_dir):
     return status.loaded_counts(loaded.posts, loaded.mentions)
 
 
+def _first_run(raw):
+    # of the distinct runs: the minimum of a text column leaves hash aggregation
+    return raw.select("run_id").distinct().agg(F.min("run_id")).first()[0]
+
+
 def _refresh_days(spark, sf_dir):
     """Two arrivals and a refresh of changed days after each; the second corrects a run."""
     raw = _raw(spark, sf_dir)
     root, bronze, state, stored = (
         shared_folder(spark, n) for n in ("lake", "bronze", "ingest-state", "tables")
     )
-    wrong = raw.agg(F.min("run_id")).first()[0]
+    wrong = _first_run(raw)
     early, late = F.col("run_id") < LATER_RUNS, F.col("run_id") >= LATER_RUNS
     first = raw.where(early).unionByName(raw.where(F.col("run_id") == wrong))
     lake.write_snapshots(first, f"{root}/early")
@@ -297,7 +302,7 @@ def _on_sums(name):
     def run(spark, sf_dir):
         raw = _raw(spark, sf_dir)
         bronze, stored = shared_folder(spark, "bronze"), shared_folder(spark, "sums")
-        wrong = raw.agg(F.min("run_id")).first()[0]
+        wrong = _first_run(raw)
         for number, rows in enumerate(
             (
                 raw.where(F.col("run_id") <= LATER_RUNS).where("NOT score <=> 1"),

@@ -49,14 +49,16 @@ def fold(rows, compat=True):
     n = F.count(F.lit(1)).alias("n")
     score = [F.sum("score").alias("score"), F.count("score").alias("scored")]
     found = F.sum("mention_count").alias("mention_count")
-    timed = trend.with_fetched_time(mentions, keep_all=True)
+    # a run has few fetch times: their texts are read after the counting, not once a mention
+    by_text = mentions.groupBy(*RUN, "source", "tool", "category", "fetched_at").agg(n, *score)
+    timed = trend.with_fetched_time(by_text, keep_all=True)
     # as the windows of the trend are cut, but rows without a time stay
     seconds = F.unix_seconds("fetched_ts")
     half_day = F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(trend.STEP_SECONDS)))
     return Rollup(
         mentions=timed.groupBy(
             *RUN, "source", "tool", "category", half_day.alias("fetched_ts")
-        ).agg(n, *score),
+        ).agg(*[F.sum(c).alias(c) for c in ("n", "score", "scored")]),
         authors=posts.groupBy(*RUN, "source", "author").agg(
             n, *score, found, F.sum("num_comments").alias("num_comments")
         ),
