@@ -98,12 +98,10 @@ def _pieces(tokens, capacity, piece):
 
 
 def _pack(path, capacity, piece, end_id):
-    width = np.dtype("<u2")
-
     def run(batches, schema):
         from pyspark import TaskContext
 
-        encoder = piece_encoder(path, width.str if _narrow(path) else "<u4", spaced=False)
+        encoder = piece_encoder(path, None, spaced=False)
         context = TaskContext.get()
         window = (context.partitionId() if context else 0) << 40
         end = np.array([end_id], encoder.dtype)
@@ -149,13 +147,6 @@ def _pack(path, capacity, piece, end_id):
     return run
 
 
-def _narrow(path):
-    """Whether two bytes hold every id of the vocabulary."""
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16
-
-
 def pack_documents(docs, path, capacity=CAPACITY, piece=PIECE, end_id=END_ID):
     """``doc_id, start, length, ids, doc_tokens, sequence_id, offset``, one row per piece.
 

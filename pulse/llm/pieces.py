@@ -19,7 +19,7 @@ import string
 
 import numpy as np
 
-MAX_ENTRIES = 500_000  # of each table, some 80 MB; a full table is dropped and filled anew
+MAX_ENTRIES = 250_000  # of each table, some 40 MB; a full table is dropped and filled anew
 MAX_PIECE = 64  # longer pieces are encoded each time
 
 
@@ -60,7 +60,8 @@ class PieceEncoder:
 
     With ``spaced`` pieces keep the space they begin with (byte-level vocabularies); without,
     texts are cut at ASCII white space, which the tokenizer drops anyway. The result equals
-    ``encode(text, add_special_tokens=False).ids`` of the library for every text.
+    ``encode(text, add_special_tokens=False).ids`` of the library for every text. Without a
+    ``dtype`` ids are as wide as the vocabulary asks for.
     """
 
     def __init__(self, path, dtype="<u4", spaced=True):
@@ -68,6 +69,8 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        if dtype is None:
+            dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
         self.dtype, self.spaced = np.dtype(dtype), spaced
         self.letters = _byte_letters()
         self.newline = self.letters[ord("\n")]
@@ -89,12 +92,12 @@ class PieceEncoder:
         self.at_added = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")")
         self.shared = os.path.commonprefix(longest)
 
-    def _word(self, word):
+    def _word(self, word, keep=True):
         ids = self.words.get(word)
         if ids is None:
             packed = self.packed
             ids = b"".join([packed[t.id] for t in self.model.tokenize(word)])
-            if len(word) <= MAX_PIECE:
+            if keep and len(word) <= MAX_PIECE:
                 if len(self.words) >= MAX_ENTRIES:
                     self.words.clear()
                 self.words[word] = ids
@@ -112,9 +115,10 @@ class PieceEncoder:
                 for line in lines[1:]:
                     ids += self._word(self.newline), self._line(line, "")
                 return b"".join(ids)
-        return self._line(text, lead)
+        # a piece of one word is kept among the pieces, not here as well
+        return self._line(text, lead, keep=not text.isalpha())
 
-    def _line(self, text, lead):
+    def _line(self, text, lead, keep=True):
         """Ids of a piece, or of a line of one, as a normalised text."""
         core = text if text.isalpha() else text.rstrip(string.punctuation)
         if core.isalpha():
@@ -123,7 +127,7 @@ class PieceEncoder:
             else:
                 word = codecs.charmap_decode((lead + core).encode(), "strict", self.letters)[0]
             if len(core) == len(text):
-                return self._word(word)
+                return self._word(word, keep)
             return self._word(word) + self._word(text[len(core) :])
         split = self.pre_tokenizer.pre_tokenize_str(lead + text)
         return b"".join([self._word(word) for word, _ in split])

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from pulse.llm import (
     toxic_lexicon,
     word_shuffle,
 )
+from pulse.llm.arrow import arrow_schema
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, source string, lang string, n_chars long, key string, extra int"
@@ -557,6 +559,42 @@ def test_packs(spark, real, odd, none):
     assert set(counts) == {r.doc_id for r in odd.collect()} and counts[0] == 1
 
 
+def test_packing_opens_the_vocabulary_once(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    opened = []
+
+    class Counted:
+        @staticmethod
+        def from_file(path):
+            opened.append(path)
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    monkeypatch.setattr(pieces, "_ENCODERS", {})
+    path = public_tokenizers.path("word_bpe_49k.json")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [b"some words"]})
+    schema = arrow_schema(
+        "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint,"
+        " sequence_id bigint, offset bigint"
+    )
+    for _ in range(3):
+        assert len(list(kk_packing._pack(path, 4096, 512, 2)([batch], schema))) == 1
+    assert len(opened) == 1
+
+
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_a_plain_word_is_kept_once(name, spaced):
+    encoder = pieces.PieceEncoder(public_tokenizers.path(name), None, spaced)
+    rng = random.Random(4)
+    words = {"".join(rng.choices("abcdefghijkl", k=9)) for _ in range(2000)}
+    encoder.text(" ".join(["a", *words, "b"]).encode())
+    assert 2000 <= len(encoder.pieces) + len(encoder.words) <= 2010
+    assert encoder.dtype == "<u2"
+    # both tables full, with the longest pieces they keep most often
+    assert 2 * pieces.MAX_ENTRIES * 150 <= 80e6
+
+
 def test_differencing_is_a_partition():
     rng = random.Random(1)
     for windows in (1, 2, 3, 7, 40):
