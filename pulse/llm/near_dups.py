@@ -8,15 +8,16 @@
    they were made from; the pairs are confirmed and joined into components.
 3. Buckets that still hold several components compare the members outside the largest one
    with the members of other components, by signature and then by their shingle hashes, in
-   the join itself: only likely links become rows, and these are confirmed too. After that
+   the join itself: only likely links become rows, and these are confirmed too. Two members
+   are compared once, in the first bucket both are in, not in every one. After that
    every pair of a bucket is confirmed, refused, or inside one component. A group of near
    copies costs its size; members of a group that are below the asked similarity to most
    others are compared with the whole bucket, in slices, but make no rows.
 4. Before texts are read, a pair must agree in enough positions of the signature (two bits
    each); the bound lies five standard deviations below the asked similarity, so it loses
-   about 1 link in 3 million at exactly that similarity. Texts of up to 512 shingles are
-   compared by all their hashes, which loses none; longer ones by the 512 smallest hashes
-   with a bound of five deviations again.
+   about 1 link in 3 million at exactly that similarity. Texts of up to 768 shingles are
+   compared by all their hashes, which loses none; longer ones by those below a power of two
+   that leaves at most 768, with a bound of five deviations again.
    Pairs that pass are confirmed on the full sets of shingles, from the texts.
 
 With 50 bands of 6 positions a link at similarity 0.8 shares no band in 1 of 4 million
@@ -44,7 +45,7 @@ BANDS, ROWS = 50, 6
 POSITIONS = BANDS * ROWS
 COMPARED = 288  # positions compared before texts are read, 32 to a long
 DEVIATIONS = 5
-SAMPLED = 512  # shingle hashes of a text that buckets compare
+SAMPLED = 768  # shingle hashes of a text that buckets compare, at most
 SLICE = 1_000_000  # comparisons of a bucket that are left to one slice
 FEW_IDS = 1_000_000  # ids up to which the texts' rows are chosen by a broadcast
 
@@ -219,18 +220,37 @@ def may_link(x, y, percent):
     )
 
 
+def sample_of(hashes):
+    """Level, sample and counts of a text's sorted shingle hashes.
+
+    Level k leaves the hashes below 2 ** (64 - k). The sample is that of the first level of
+    at most ``SAMPLED`` hashes; the counts are those of this level and the next ones, as long
+    as any hash is left.
+    """
+    level, kept = 0, len(hashes)
+    while kept > SAMPLED:
+        level += 1
+        kept = int(np.searchsorted(hashes, np.uint64(1 << (64 - level))))
+    counts, k = [kept], level
+    while counts[-1] and k < 63:
+        k += 1
+        counts.append(int(np.searchsorted(hashes, np.uint64(1 << (64 - k)))))
+    return level, hashes[:kept], counts
+
+
 def _sample(n):
-    """Arrow function: doc_id, text -> doc_id, the smallest ``SAMPLED`` shingle hashes."""
+    """Arrow function: doc_id, text -> doc_id and the parts of ``sample_of``."""
 
     def run(batches, schema):
         known = {}
         for batch in batches:
-            out = [[], []]
+            out = [[], [], [], []]
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if len(known) > 400_000:
                     known.clear()
-                hashes = shingle_hashes(words_of(text), n, known)[:SAMPLED]
-                out[0].append(i), out[1].append(hashes.view(np.int64).tolist())
+                level, hashes, counts = sample_of(shingle_hashes(words_of(text), n, known))
+                for column, value in zip(out, (i, level, hashes.view(np.int64).tolist(), counts)):
+                    column.append(value)
             yield record_batch(schema, out)
 
     return run
@@ -238,35 +258,46 @@ def _sample(n):
 
 def shingle_samples(docs, ids, n):
     """``id, sample`` of the texts named: all hashes of a text's shingles, or the smallest."""
-    sampled = map_arrow(_texts(docs, ids), _sample(n), "id bigint, hashes array<bigint>")
-    full = F.size("hashes") >= SAMPLED
-    # hashes are unsigned: order them as such for the largest one
-    flipped = F.transform("hashes", lambda h: h.bitwiseXOR(F.lit(-(1 << 63))))
-    last = F.when(full, F.array_max(flipped)).otherwise(F.lit((1 << 63) - 1))
+    sampled = map_arrow(
+        _texts(docs, ids), _sample(n), "id bigint, level int, hashes array<bigint>, counts array<int>"
+    )
     return _written(
-        sampled.select("id", F.struct(flipped.alias("hashes"), last.alias("last")).alias("sample")),
-        "samples",
+        sampled.select("id", F.struct("level", "hashes", "counts").alias("sample")), "samples"
     )
 
 
 def samples_link(x, y, percent):
     """Condition on two member structs: their shingle hashes allow a link.
 
-    Up to the smaller of the two last hashes both samples are whole. Where both hold all
-    hashes, this leaves out no link: a shingle hidden by a collision is counted as shared.
-    Longer texts are compared on at least ``SAMPLED`` hashes of the union.
+    Below the bound of the higher level both samples are whole, and all shared hashes lie
+    there. Where both samples hold all hashes, this leaves out no link: a shingle hidden by a
+    collision is counted as shared. Longer texts are compared on the part below that bound.
     """
     p = percent / 100
-    last = F.least(f"{x}.sample.last", f"{y}.sample.last")
+    level = F.greatest(f"{x}.sample.level", f"{y}.sample.level")
     hashes = F.col(f"{x}.sample.hashes"), F.col(f"{y}.sample.hashes")
+    # the costly part: each condition is solved for it, so that it is evaluated once
     shared = F.size(F.array_intersect(*hashes))
-    whole = last == (1 << 63) - 1
     most = shared + F.col(f"{x}.n_shingles") - F.size(hashes[0])
-    exact = 100 * most >= percent * (F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles") - most)
-    seen = [F.size(F.filter(h, lambda v: v <= last)) for h in hashes]
-    union = seen[0] + seen[1] - shared
-    near = shared >= p * union - DEVIATIONS * F.sqrt(p * (1 - p) * union)
-    return F.when(whole, exact).otherwise(near)
+    exact = (100 + percent) * most >= percent * (F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles"))
+    # shared >= p * union - DEVIATIONS * sqrt(p * (1 - p) * union), with union = seen - shared
+    seen = sum(
+        F.coalesce(F.get(f"{z}.sample.counts", level - F.col(f"{z}.sample.level")), F.lit(0))
+        for z in (x, y)
+    )
+    spread = DEVIATIONS * (p * (1 - p)) ** 0.5
+    root = (spread + F.sqrt(spread**2 + 4 * (1 + p) * seen)) / (2 * (1 + p))
+    near = seen - shared <= F.pow(root, 2)
+    return F.when(level == 0, exact).otherwise(near)
+
+
+def first_meeting(x, y, key):
+    """Condition on two member structs: no smaller key is shared by the two.
+
+    Members without a list of their keys meet in every bucket they share.
+    """
+    shared = F.array_min(F.array_intersect(f"{x}.keys", f"{y}.keys"))
+    return F.coalesce(shared == F.col(key), F.lit(True))
 
 
 def _confirm(n, percent):
@@ -320,6 +351,18 @@ def _written(df, purpose):
     return df.sparkSession.read.parquet(folder)
 
 
+def _written_compiled(df, purpose):
+    """As ``_written``, for long conditions: the JVM leaves methods above 8000 bytes uncompiled,
+    so a stage that would become one such method is to run operator by operator."""
+    conf, limit = df.sparkSession.conf, "spark.sql.codegen.hugeMethodLimit"
+    before = conf.get(limit)
+    conf.set(limit, 8000)
+    try:
+        return _written(df, purpose)
+    finally:
+        conf.set(limit, before)
+
+
 def components(docs, n=5, percent=80):
     """``doc_id, n_shingles, component_id`` for every row."""
     signed = sign(docs, n)
@@ -343,9 +386,11 @@ def components(docs, n=5, percent=80):
     )
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = _written(members.join(shared, "key"), "buckets")
-    meets = members.groupBy("rep").agg(F.sum("size").alias("meets"))
+    meets = members.groupBy("rep").agg(
+        F.sum("size").alias("meets"), F.count(F.lit(1)).alias("buckets")
+    )
     about = meets.join(classes.dropDuplicates(["rep"]), "rep").select(
-        "rep", F.struct("meets", "rep", "n_shingles", "bits").alias("x")
+        "rep", F.struct("meets", "rep", "n_shingles", "bits", "buckets").alias("x")
     )
     members = _written(members.join(about, "rep").select("key", "x"), "buckets")
     first = members.groupBy("key").agg(F.max("x").alias("y"))
@@ -383,9 +428,16 @@ def components(docs, n=5, percent=80):
     )
     placed = _written(placed.join(mixed, "key"), "mixed")
     samples = shingle_samples(docs, placed.select("x.rep"), n)
-    placed = placed.join(samples, F.col("x.rep") == F.col("id")).withColumn(
-        "x", F.struct("x.rep", "x.n_shingles", "x.bits", "sample")
+    # Two members are compared in the first bucket they share. Only an id of several texts
+    # has more buckets than bands; it gets no list and is compared in every one.
+    own = (
+        placed.where(F.col("x.buckets") <= BANDS)
+        .groupBy(F.col("x.rep").alias("id"))
+        .agg(F.collect_set("key").alias("keys"))
     )
+    placed = placed.join(
+        samples.join(own, "id", "left"), F.col("x.rep") == F.col("id")
+    ).withColumn("x", F.struct("x.rep", "x.n_shingles", "x.bits", "sample", "keys"))
     # A large bucket is dealt out: its left side in slices, its right side to every slice.
     left = placed.where("c != largest").select(
         "key", F.pmod(F.xxhash64("x.rep"), "slices").alias("slice"), "x", "c"
@@ -395,16 +447,23 @@ def components(docs, n=5, percent=80):
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"),
         F.col("x").alias("y"),
         F.col("c").alias("d"),
+        (F.col("c") == F.col("largest")).alias("in_largest"),
     )
     across = (
         left.join(right, ["key", "slice"])
         .where("c != d")
-        .where(may_link("x", "y", percent) & samples_link("x", "y", percent))
+        .where("in_largest OR x.rep < y.rep")  # two of the left side meet once
+        .where(
+            may_link("x", "y", percent)
+            & first_meeting("x", "y", "key")
+            & samples_link("x", "y", percent)
+        )
         .select(
             F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
         )
         .distinct()
     )
+    across = _written_compiled(across, "across")
     more = confirmed(across.join(pairs, ["a", "b"], "left_anti"), docs, n, percent)
     groups = smallest_reachable(links.unionByName(more))
 

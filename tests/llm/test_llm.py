@@ -674,6 +674,45 @@ def test_large_buckets_in_slices(spark, monkeypatch):
     test_families_near_the_limit_equal_brute_force(spark)
 
 
+def test_two_members_are_compared_in_one_bucket(spark):
+    member = "struct<rep:bigint,keys:array<bigint>>"
+    rows = [
+        (key, (1, [3, 5, 9]), (2, other))
+        for other in ([9, 5], [9, 4, 3, 5], None)
+        for key in (3, 5, 9)
+        if other is None or key in other
+    ]
+    df = spark.createDataFrame(rows, f"key bigint, x {member}, y {member}")
+    met = df.where(near_dups.first_meeting("x", "y", "key")).select("key", "y.keys").collect()
+    assert sorted(((r.keys or [0])[-1], r.key) for r in met) == [(0, 3), (0, 5), (0, 9), (5, 3), (5, 5)]
+
+
+def test_samples_leave_out_no_link():
+    # the smallest power of two that leaves few enough hashes, with counts below the next ones
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 768, 769, 5000):
+        hashes = np.unique(rng.integers(0, 1 << 64, size, np.uint64))
+        level, sample, counts = near_dups.sample_of(hashes)
+        assert (level == 0) == (size <= 768) and len(sample) <= 768 and counts[0] == len(sample)
+        for k, count in enumerate(counts, level):
+            assert count == sum(int(h) < 1 << (64 - k) for h in hashes)
+
+
+def test_comparisons_run_compiled(spark, monkeypatch):
+    # conditions within the join: no stage may become a method the JVM does not compile
+    limit, seen, written = "spark.sql.codegen.hugeMethodLimit", {}, near_dups._written
+
+    def noted(df, purpose):
+        seen[purpose] = int(spark.conf.get(limit))
+        return written(df, purpose)
+
+    monkeypatch.setattr(near_dups, "_written", noted)
+    before = spark.conf.get(limit)
+    rows = [(i, f"a b c d e f g h {i}") for i in range(4)]
+    near_dups.components(spark.createDataFrame(rows, "doc_id long, text string"), 2).count()
+    assert seen["across"] == 8000 and spark.conf.get(limit) == before
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(0)
     errors = []
