@@ -111,8 +111,9 @@ def _write(path, end_id):
             return record_batch(schema, row)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.text(text) + end
+            texts = encoder.texts(batch.column(1).to_pylist())
+            for doc, ids in zip(batch.column(0).to_pylist(), texts):
+                ids += end
                 docs.append(doc), lengths.append(len(ids) // 4), held.append(ids)
                 total += lengths[-1]
                 if total >= ROW_IDS:

@@ -595,6 +595,51 @@ def test_a_plain_word_is_kept_once(name, spaced):
     assert 2 * pieces.MAX_ENTRIES * 150 <= 80e6
 
 
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_words_in_use_outlive_a_full_table(name, spaced, monkeypatch):
+    monkeypatch.setattr(pieces, "MAX_ENTRIES", 1000)
+    encoder = pieces.PieceEncoder(public_tokenizers.path(name), None, spaced)
+    model, calls = encoder.model, []
+
+    class Counted:
+        @staticmethod
+        def tokenize(word):
+            calls.append(word.lstrip("\u0120"))
+            return model.tokenize(word)
+
+    encoder.model = Counted
+    usual = ["usual" + a + b for a in "abcdefghij" for b in "abcdefghij"]
+    for i in range(20):
+        rare = ["rare" + "".join(chr(97 + int(d)) for d in str(i * 400 + j)) for j in range(400)]
+        encoder.text(" ".join(["a", *usual, *rare, "b"]).encode())
+    assert sum(c.startswith("usual") for c in calls) == len(usual)
+    assert len(encoder.pieces) <= 1000 and len(encoder.older) <= 1000
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+@pytest.mark.parametrize("slice_bytes", [5, 300, 4 << 20])
+def test_batches_equal_a_fresh_library(real, name, spaced, slice_bytes, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(pieces, "SLICE", slice_bytes)
+    monkeypatch.setattr(pieces, "MAX_ENTRIES", 200)
+    monkeypatch.setattr(pieces, "MAX_WORDS", 50)
+    path = public_tokenizers.path(name)
+    encoder, fresh = pieces.PieceEncoder(path, "<u4", spaced), Tokenizer.from_file(path)
+    parts = list("abé×漢\u304b'\n\t\x1c\x85\u3000\xa0\u1680\u2003\u2028\u201c\u2014  .,*<>½7²\U0001f600")
+    parts += ["<|endoftext|>", "<|startoftext|>", " the", ".\nDe", "it's", "=\u0338", "E\u0301", "H\u0331", "Σ", "Ж,", " \u201ca"]
+    rng = random.Random(11)
+    texts = [None, "", " ", "a ", "\n", *TRICKY, None, *[t or "" for t in list(real.values())[:20]]]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)]
+    for at in range(0, len(texts), 700):
+        some = texts[at : at + 700]
+        found = encoder.texts([None if t is None else t.encode() for t in some])
+        right = fresh.encode_batch([t or "" for t in some], add_special_tokens=False)
+        for text, ids, e in zip(some, found, right, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == e.ids, text
+    assert encoder.texts([]) == []
+
+
 def test_differencing_is_a_partition():
     rng = random.Random(1)
     for windows in (1, 2, 3, 7, 40):
