@@ -134,8 +134,9 @@ def _pack(path, capacity, piece, end_id):
             return record_batch(schema, out)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.concatenate([np.frombuffer(encoder.text(text), encoder.dtype), end])
+            texts = encoder.texts(batch.column(1).to_pylist())
+            for doc, ids in zip(batch.column(0).to_pylist(), texts):
+                ids = np.concatenate([np.frombuffer(ids, encoder.dtype), end])
                 held.append((doc, ids))
                 total += len(ids)
                 if total >= BATCH:

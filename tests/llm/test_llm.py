@@ -640,6 +640,23 @@ def test_batches_equal_a_fresh_library(real, name, spaced, slice_bytes, monkeypa
     assert encoder.texts([]) == []
 
 
+def test_packing_meets_a_word_once_a_batch(spark, monkeypatch):
+    met = []
+    ids_of = pieces.PieceEncoder._ids
+    monkeypatch.setattr(pieces.PieceEncoder, "_ids", lambda self, some: met.extend(some) or ids_of(self, some))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [b"one two. three", b"three, two one", None, b"", b"two"] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(texts, pa.binary())], ["doc_id", "text"])
+    schema = arrow_schema(
+        "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint,"
+        " sequence_id bigint, offset bigint"
+    )
+    (out,) = kk_packing._pack(path, 4096, 512, 2)([batch], schema)
+    assert sorted(met) == [b",", b".", b"one", b"three", b"two"]
+    tokens = dict(zip(out.column(0).to_pylist(), out.column(4).to_pylist()))
+    assert [tokens[i] for i in range(100)] == [5, 5, 1, 1, 2] * 20
+
+
 def test_differencing_is_a_partition():
     rng = random.Random(1)
     for windows in (1, 2, 3, 7, 40):
